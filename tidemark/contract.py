@@ -17,21 +17,34 @@ QUOTE_EMBEDS = ("app.bsky.embed.record", "app.bsky.embed.recordWithMedia")
 # Fixed value: an AT URI naming one record
 AT_URI_PATTERN = "^at://did:[a-z]+:[^/]+/[^/]+/[^/]+$"
 
-BRONZE_SCHEMA = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("did", T.StringType()),
-        T.StructField("collection", T.StringType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("rkey", T.StringType()),
-        T.StructField("rev", T.StringType()),
-        T.StructField("cid", T.StringType()),
-        T.StructField("event_time", T.TimestampType()),
-        T.StructField("record", T.StringType()),
-        T.StructField("kafka_partition", T.IntegerType()),
-        T.StructField("kafka_offset", T.LongType()),
-        T.StructField("processed_at", T.TimestampType()),
-    ]
+TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "strings": T.ArrayType(T.StringType()),
+}
+
+
+def schema(**columns: str) -> T.StructType:
+    """A schema from column names and type names, without needing a session."""
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in columns.items()])
+
+
+BRONZE_SCHEMA = schema(
+    seq="bigint",
+    did="string",
+    collection="string",
+    operation="string",
+    rkey="string",
+    rev="string",
+    cid="string",
+    event_time="timestamp",
+    record="string",
+    kafka_partition="int",
+    kafka_offset="bigint",
+    processed_at="timestamp",
 )
 BRONZE_COLUMNS = tuple(BRONZE_SCHEMA.fieldNames())
 BRONZE_REQUIRED = ("seq", "did", "collection", "operation", "rkey", "event_time")

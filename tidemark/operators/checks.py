@@ -11,7 +11,7 @@ from tidemark import contract as c
 from tidemark.functions.labels import silver_model
 from tidemark.operators.aggregates import having_more_than
 from tidemark.operators.joins import join_cross_values, join_offset_range
-from tidemark.plans.gold import union_all
+from tidemark.operators.sets import union_all
 
 
 def recent(rows: DataFrame, since: Column | None, ts: str = "processed_at") -> DataFrame:

@@ -5,29 +5,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.gold import union_all
+from tidemark.operators.sets import union_all
 from tidemark.sources.tables import DAY
 
 
+# Beyond this many ranges the plan would be longer than the scans are short
+MAX_SCANS = 16
+
+
 def hour_ranges_filter(
     rows: DataFrame, ranges: Sequence[tuple[str, str]], ts: str = "event_time"
 ) -> DataFrame:
-    """Rows whose time lies in one of the [start, end) ranges, given as values.
+    """Rows whose time lies in one of the [start, end) ranges of whole hours, as values.
 
     One bounded scan per range: each prunes days and row groups on its own, which an OR
-    of ranges does not."""
+    of ranges does not. Many ranges become one scan between the outermost bounds, matched
+    by hour with the listed hours."""
+    if not ranges:
+        return rows.where(F.lit(False))
+    if len(ranges) <= MAX_SCANS:
+        return union_all([_between(rows, start, end, ts) for start, end in ranges])
+    outer = _between(rows, min(r[0] for r in ranges), max(r[1] for r in ranges), ts)
+    listed = rows.sparkSession.createDataFrame(list(ranges), "s string, e string")
+    last = F.col("e").cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(1))
+    step = F.make_dt_interval(hours=F.lit(1))
+    hour = F.explode(F.sequence(F.col("s").cast("timestamp_ntz"), last, step))
+    # The ranges were given as values: their number is known
+    return in_hours(outer, F.broadcast(listed.select(hour.alias("hour"))), ts)
+
+
+def _between(rows: DataFrame, start: str, end: str, ts: str) -> DataFrame:
     kind = rows.schema[ts].dataType.simpleString()
-    scans = []
-    for start, end in ranges:
-        lower, upper = F.lit(start).cast(kind), F.lit(end).cast(kind)
-        scan = rows.where((F.col(ts) >= lower) & (F.col(ts) < upper))
-        if DAY in rows.columns:
-            scan = scan.where(F.col(DAY).between(F.to_date(lower), F.to_date(upper)))
-        scans.append(scan)
-    return union_all(scans) if scans else rows.where(F.lit(False))
+    lower, upper = F.lit(start).cast(kind), F.lit(end).cast(kind)
+    scan = rows.where((F.col(ts) >= lower) & (F.col(ts) < upper))
+    if DAY in rows.columns:
+        scan = scan.where(F.col(DAY).between(F.to_date(lower), F.to_date(upper)))
+    return scan
 
 
 def in_hours(rows: DataFrame, hours: DataFrame, ts: str = "event_time") -> DataFrame:
     """Rows of the hours in a table of distinct hours, for sets too large to list."""
+    named = hours.select(F.col("hour").cast("timestamp").alias("_hour"))
     hour = F.date_trunc("HOUR", F.col(ts))
-    return rows.withColumn("hour", hour).join(hours.select("hour"), "hour", "left_semi").drop("hour")
+    return rows.withColumn("_hour", hour).join(named, "_hour", "left_semi").drop("_hour")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contract as c
-from tidemark.plans.gold import union_all
+from tidemark.operators.sets import union_all
 
 
 def comparable(table: DataFrame) -> DataFrame:
@@ -24,10 +24,6 @@ def read_dump(spark, path: str) -> DataFrame:
     return comparable(spark.read.parquet(path))
 
 
-def set_except_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.exceptAll(right.select(*left.columns))
-
-
 def column_differences(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
     """Columns of one side only, lineage aside."""
     left, right = set(comparable(a).columns), set(comparable(b).columns)

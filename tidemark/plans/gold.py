@@ -4,14 +4,13 @@ Every model is one function of the Silver tables it reads, given by name. Each i
 aggregation with map-side combine: one busy hour or collection spreads over all tasks."""
 
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import contract as c
 from tidemark.functions.text import primary_languages
+from tidemark.operators.sets import union_all
 
 Silver = Mapping[str, DataFrame]
 
@@ -23,31 +22,14 @@ CREATED_BY_TABLE = {
 }
 
 GOLD_SCHEMAS = {
-    "gold_activity_minute": T.StructType.fromDDL(
-        "minute timestamp, collection string, creates bigint, deletes bigint,"
-        " silver_snapshot_id bigint"
-    ),
-    "gold_langs_hour": T.StructType.fromDDL(
-        "hour timestamp, lang string, posts bigint, silver_snapshot_id bigint"
-    ),
-    "gold_hashtags_hour": T.StructType.fromDDL(
-        "hour timestamp, hashtag string, posts bigint, rank int, silver_snapshot_id bigint"
-    ),
-    "gold_active_users_hour": T.StructType.fromDDL(
-        "hour timestamp, collection string, active_accounts bigint, silver_snapshot_id bigint"
-    ),
-    "gold_engagement_hour": T.StructType.fromDDL(
-        "hour timestamp, likes bigint, reposts bigint, replies bigint, quotes bigint,"
-        " likes_deleted bigint, reposts_deleted bigint, posts_deleted bigint,"
-        " net_likes bigint, net_reposts bigint, silver_snapshot_id bigint"
-    ),
+    "gold_activity_minute": c.schema(minute="timestamp", collection="string", creates="bigint", deletes="bigint", silver_snapshot_id="bigint"),
+    "gold_langs_hour": c.schema(hour="timestamp", lang="string", posts="bigint", silver_snapshot_id="bigint"),
+    "gold_hashtags_hour": c.schema(hour="timestamp", hashtag="string", posts="bigint", rank="int", silver_snapshot_id="bigint"),
+    "gold_active_users_hour": c.schema(hour="timestamp", collection="string", active_accounts="bigint", silver_snapshot_id="bigint"),
+    "gold_engagement_hour": c.schema(hour="timestamp", likes="bigint", reposts="bigint", replies="bigint", quotes="bigint", likes_deleted="bigint", reposts_deleted="bigint", posts_deleted="bigint", net_likes="bigint", net_reposts="bigint", silver_snapshot_id="bigint"),
 }
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def created_events(silver: Silver, *columns: str) -> DataFrame:
     """Creations of the four collections, labelled; edits of posts are not creations."""
     frames = []

@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import contract as c
 from tidemark.functions.records import FACETS_TYPE, feature_values, flatten_features, merge_tags
@@ -25,27 +24,10 @@ SUBJECT_RECORD = "createdAt string, subject struct<uri:string>"
 FOLLOW_RECORD = "createdAt string, subject string"
 
 SILVER_SCHEMAS = {
-    "silver_posts": T.StructType.fromDDL(
-        "seq bigint, did string, rkey string, cid string, operation string,"
-        " event_time timestamp, created_at timestamp, text string, langs array<string>,"
-        " reply_parent_uri string, reply_root_uri string, embed_type string,"
-        " hashtags array<string>, mention_dids array<string>, processed_at timestamp,"
-        " bronze_snapshot_id bigint"
-    ),
-    "silver_likes": T.StructType.fromDDL(
-        "seq bigint, did string, rkey string, cid string, event_time timestamp,"
-        " created_at timestamp, subject_uri string, subject_did string, subject_rkey string,"
-        " processed_at timestamp, bronze_snapshot_id bigint"
-    ),
-    "silver_follows": T.StructType.fromDDL(
-        "seq bigint, did string, rkey string, cid string, event_time timestamp,"
-        " created_at timestamp, subject_did string, processed_at timestamp,"
-        " bronze_snapshot_id bigint"
-    ),
-    "silver_deletes": T.StructType.fromDDL(
-        "seq bigint, did string, collection string, rkey string, event_time timestamp,"
-        " processed_at timestamp, bronze_snapshot_id bigint"
-    ),
+    "silver_posts": c.schema(seq="bigint", did="string", rkey="string", cid="string", operation="string", event_time="timestamp", created_at="timestamp", text="string", langs="strings", reply_parent_uri="string", reply_root_uri="string", embed_type="string", hashtags="strings", mention_dids="strings", processed_at="timestamp", bronze_snapshot_id="bigint"),
+    "silver_likes": c.schema(seq="bigint", did="string", rkey="string", cid="string", event_time="timestamp", created_at="timestamp", subject_uri="string", subject_did="string", subject_rkey="string", processed_at="timestamp", bronze_snapshot_id="bigint"),
+    "silver_follows": c.schema(seq="bigint", did="string", rkey="string", cid="string", event_time="timestamp", created_at="timestamp", subject_did="string", processed_at="timestamp", bronze_snapshot_id="bigint"),
+    "silver_deletes": c.schema(seq="bigint", did="string", collection="string", rkey="string", event_time="timestamp", processed_at="timestamp", bronze_snapshot_id="bigint"),
 }
 SILVER_SCHEMAS["silver_reposts"] = SILVER_SCHEMAS["silver_likes"]
 
