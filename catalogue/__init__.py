@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "medallion", "relational")
+MODULES = ("scalars", "medallion", "relational", "stateful")
 
 
 def load() -> None:

@@ -1,6 +1,7 @@
 """Registry of queries: name -> (Spark function, SQL over the same tables)."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,28 @@ from catalogue.shape import bronze_rows, calendar_rows, message_rows, with_ctes
 Build = Callable[["Tables"], DataFrame]
 
 QUERIES: dict[str, Build] = {}
-ORACLES: dict[str, str] = {}
 DECIMALS = 4
 
 
+@dataclass(frozen=True)
+class Oracle:
+    sql: str
+    ctes: tuple[str, ...]
+    doubles: tuple[str, ...]
+
+    def text(self) -> str:
+        whole = with_ctes(self.sql, list(self.ctes))
+        if not self.doubles:
+            return whole
+        rounded = ", ".join(
+            f"round(CAST({name} AS DOUBLE), {DECIMALS}) AS {name}" for name in self.doubles
+        )
+        return f"SELECT * REPLACE ({rounded}) FROM ({whole}) AS result"
+
+
+ORACLES: dict[str, Oracle] = {}
+
+
 class Tables:
     """The tables of one folder, and the shapes derived from them."""
 
@@ -49,13 +68,7 @@ def query(name: str, sql: str | None = None, ctes: str = "", doubles: str = ""):
         assert name not in QUERIES, name
         QUERIES[name] = build
         if sql is not None:
-            text = with_ctes(sql, ctes.split())
-            if doubles:
-                rounded = ", ".join(
-                    f"round(CAST({c} AS DOUBLE), {DECIMALS}) AS {c}" for c in doubles.split()
-                )
-                text = f"SELECT * REPLACE ({rounded}) FROM ({text}) AS result"
-            ORACLES[name] = text
+            ORACLES[name] = Oracle(sql, tuple(ctes.split()), tuple(doubles.split()))
         return build
 
     return register

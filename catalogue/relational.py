@@ -245,8 +245,8 @@ def agg_bool_or(t: Tables):
 
 @query(
     "agg_count_if",
-    """SELECT source, count_if(n_chars > 1000) AS long_docs, count_if(lang = 'en') AS english
-    FROM documents GROUP BY 1""",
+    """SELECT source, CAST(count_if(n_chars > 1000) AS BIGINT) AS long_docs,
+        CAST(count_if(lang = 'en') AS BIGINT) AS english FROM documents GROUP BY 1""",
 )
 def agg_count_if(t: Tables):
     counts = {"long_docs": F.col("n_chars") > 1000, "english": F.col("lang") == "en"}

@@ -216,17 +216,25 @@ def gold_hours_behind(
 
 
 class Pipeline:
-    """Bronze, Silver and Gold tables below one root, and the passes that move them on."""
+    """Bronze, Silver and Gold tables below one root, and the passes that move them on.
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    With a choice of Gold models, only the Silver models they read are kept up."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, gold_models: Sequence[str] = tuple(GOLD)
+    ) -> None:
         self.spark = spark
         self.root = root
+        self.gold_models = tuple(gold_models)
+        inputs = {table for model in gold_models for table in GOLD_INPUTS[model]}
+        self.silver_models = [m for m in SILVER if m in inputs or set(gold_models) == set(GOLD)]
         self.bronze = CommitTable(
             spark, f"{root}/bronze/bronze_events", c.BRONZE_SCHEMA, cluster_by=["collection"]
         )
         self.silver = {
             name: CommitTable(spark, f"{root}/silver/{name}", schema, rebalance=True)
             for name, schema in SILVER_SCHEMAS.items()
+            if name in self.silver_models
         }
         self.progress = StateTable(spark, f"{root}/meta/progress", PROGRESS_SCHEMA)
         self.pending = StateTable(spark, f"{root}/meta/pending", PENDING_SCHEMA)
@@ -278,7 +286,7 @@ class Pipeline:
         done = self._positions()
         pass_id = self._next_pass()
         moved = 0
-        for model in SILVER:
+        for model in self.silver_models:
             last = done.get((model, "bronze"))
             if last is not None and last >= current:
                 continue
@@ -314,7 +322,7 @@ class Pipeline:
         done = self._positions()
         pass_id = self._next_pass()
         current = {name: table.current() for name, table in self.silver.items()}
-        return sum(self._gold_model(m, done, current, pass_id, max_hours) for m in GOLD)
+        return sum(self._gold_model(m, done, current, pass_id, max_hours) for m in self.gold_models)
 
     def _gold_model(self, model, done, current, pass_id, max_hours) -> bool:
         inputs = {t: current[t] for t in GOLD_INPUTS[model] if current[t] is not None}
@@ -376,7 +384,7 @@ class Pipeline:
         """Rows Silver has not read (least advanced model), hours Gold has not rebuilt (most
         loaded model), and the positions. Counted from the commit log, no data is read."""
         done = self._positions()
-        positions = {model: done.get((model, "bronze")) for model in SILVER}
+        positions = {model: done.get((model, "bronze")) for model in self.silver_models}
         readers = self.spark.createDataFrame(list(positions.items()), "model string, position bigint")
         behind = rows_behind(self.bronze.commits(), F.broadcast(readers))
         most = behind.agg(F.max("behind")).first()[0]
