@@ -348,9 +348,9 @@ def _progress(t: Tables, mark: bool) -> DataFrame:
         (2, "silver_likes", last - 1),
         (3, "silver_posts", last),
     ):
-        pipeline.stage_position(model, {"bronze": position}, pass_id)
+        pipeline.stage_positions({model: {"bronze": position}}, pass_id)
         if mark and pass_id != 3:
-            pipeline.mark_done(model, pass_id)
+            pipeline.mark_done([model], pass_id)
     return pipeline.progress.read()
 
 

@@ -4,9 +4,11 @@ State lives in small append-only tables. A position is staged before a model's w
 marked done after it. A crash in between reads the same commits again: Silver drops the
 events it already has, Gold rebuilds an hour that was already right."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,7 @@ from tidemark.plans.silver import SILVER, SILVER_SCHEMAS, SNAPSHOT
 from tidemark.sources.tables import (
     COMMIT,
     CommitTable,
+    partition_folders,
     read_hours,
     read_parts,
     replace_hours,
@@ -158,6 +161,10 @@ class StateTable:
         stored = T.StructType([*self.schema.fields, T.StructField(PASS, T.LongType())])
         return read_parts(self.spark, self.path, stored)
 
+    def last_pass(self) -> int:
+        folders = partition_folders(self.spark, self.path)
+        return max((int(folder.rsplit("=", 1)[1]) for folder in folders), default=0)
+
     def append(self, rows: DataFrame, pass_id: int) -> None:
         out = rows.select(*self.schema.fieldNames()).coalesce(1)
         out.write.mode("append").parquet(f"{self.path}/{PASS}={pass_id}")
@@ -246,72 +253,102 @@ class Pipeline:
         rows = last_positions(self.progress.read()).collect()
         return {(row["model"], row["input"]): row["position"] for row in rows}
 
-    def _next_pass(self) -> int:
-        return (self.progress.read().agg(F.max(PASS)).first()[0] or 0) + 1
-
-    def stage_position(self, model: str, positions: Mapping[str, int], pass_id: int) -> None:
-        """Record how far the pass is about to read; it counts once marked done."""
-        self._record(model, positions, pass_id, done=False)
-
-    def mark_done(self, model: str, pass_id: int) -> None:
-        """The staged positions of the pass become the model's."""
+    def stage_positions(self, positions: Mapping[str, Mapping[str, int]], pass_id: int) -> None:
+        """Record how far a pass is about to read, by model and input; a position counts
+        once its model is marked done."""
+        rows = [
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(name).alias("input"),
+                F.lit(position).cast("bigint").alias("position"),
+                F.lit(False).alias("done"),
+                F.current_timestamp().alias("recorded_at"),
+            )
+            for model, inputs in positions.items()
+            for name, position in inputs.items()
+        ]
+        if rows:
+            staged = self.spark.range(1).select(F.inline(F.array(*rows)))
+            self.progress.append(staged, pass_id)
+
+    def mark_done(self, models: Sequence[str], pass_id: int) -> None:
+        """The positions the pass staged become the models' own."""
+        if not models:
+            return
         staged = self.progress.read().where(
-            (F.col(PASS) == pass_id) & (F.col("model") == model) & ~F.col("done")
+            (F.col(PASS) == pass_id) & F.col("model").isin(list(models)) & ~F.col("done")
         )
         done = staged.withColumn("done", F.lit(True))
         self.progress.append(done.withColumn("recorded_at", F.current_timestamp()), pass_id)
 
-    def _record(self, model: str, positions: Mapping[str, int], pass_id: int, done: bool) -> None:
-        rows = [(model, name, position, done) for name, position in positions.items()]
-        frame = self.spark.createDataFrame(
-            rows, "model string, input string, position bigint, done boolean"
-        )
-        self.progress.append(frame.withColumn("recorded_at", F.current_timestamp()), pass_id)
-
     # Silver
 
     def append_bronze(self, rows: DataFrame, commit_id: int) -> int:
         return self.bronze.append(rows, commit_id)
 
-    def silver_pass(self, max_rows: int | None = None, fail_after: str | None = None) -> int:
+    def silver_pass(self, max_rows: int | None = None) -> int:
         """One pass of every Silver model over the commits it has not read. Returns the
         number of models that had something to read.
 
-        A pass repeated after a crash reads the same range again: the events the model
-        already holds are dropped. `fail_after` stops between a model's write and its
-        position (tests)."""
+        A pass repeated after a crash reads the same range again: the events a model
+        already holds are dropped."""
         current = self.bronze.current()
         if current is None:
             return 0
         done = self._positions()
-        pass_id = self._next_pass()
-        moved = 0
+        # Models mostly share their position: what depends on it alone is asked once
+        read_up_to: dict[int | None, int] = {}
+        bounds: dict[tuple, tuple | None] = {}
+        work = {}
         for model in self.silver_models:
             last = done.get((model, "bronze"))
             if last is not None and last >= current:
                 continue
-            up_to = current
-            if max_rows is not None:
-                capped = capped_range(self.bronze.commits(), max_rows, last).first()[0]
-                up_to = current if capped is None else capped
-            self.stage_position(model, {"bronze": up_to}, pass_id)
-            self._build_silver(model, last, up_to)
-            if fail_after == model:
-                raise RuntimeError(f"stopped after {model}")
-            self.mark_done(model, pass_id)
-            moved += 1
-        return moved
-
-    def _build_silver(self, model: str, last: int | None, up_to: int) -> None:
+            if last not in read_up_to:
+                read_up_to[last] = self._read_up_to(last, current, max_rows)
+            up_to = read_up_to[last]
+            if (last, up_to) not in bounds:
+                bounds[last, up_to] = time_bounds(self.bronze.appended(last, up_to))
+            work[model] = (last, up_to, bounds[last, up_to])
+        if not work:
+            return 0
+        pass_id = self.progress.last_pass() + 1
+        self.stage_positions({m: {"bronze": up_to} for m, (_, up_to, _) in work.items()}, pass_id)
+        self._each(list(work), lambda m: self._build_silver(m, *work[m]), pass_id)
+        return len(work)
+
+    def _each(self, models: Sequence[str], build: Callable[[str], None], pass_id: int) -> None:
+        """Build the models side by side: their jobs share the cluster. Those that finished
+        are marked done even when another one failed."""
+        failed = {}
+
+        def run(model: str) -> None:
+            try:
+                build(model)
+            except Exception as error:
+                failed[model] = error
+
+        with ThreadPoolExecutor(max_workers=len(models)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(run), models))
+        self.mark_done([m for m in models if m not in failed], pass_id)
+        for model, error in failed.items():
+            raise RuntimeError(f"{model} failed") from error
+
+    def _read_up_to(self, last: int | None, current: int, max_rows: int | None) -> int:
+        if max_rows is None:
+            return current
+        capped = capped_range(self.bronze.commits(), max_rows, last).first()[0]
+        return current if capped is None else capped
+
+    def _build_silver(
+        self, model: str, last: int | None, up_to: int, bounds: tuple | None
+    ) -> None:
         table = self.silver[model]
         current = table.current()
         batch = self.bronze.appended(last, up_to).withColumn(SNAPSHOT, F.lit(up_to))
-        typed = SILVER[model](batch)
-        rows = dedup_batch(typed)
-        if current is not None:
-            bounds = time_bounds(typed)
-            if bounds is not None:
-                rows = not_yet_in(rows, table.as_of(current), bounds=bounds)
+        rows = dedup_batch(SILVER[model](batch))
+        if current is not None and bounds is not None:
+            rows = not_yet_in(rows, table.as_of(current), bounds=bounds)
         table.append(rows, 1 if current is None else current + 1)
 
     # Gold
@@ -320,43 +357,52 @@ class Pipeline:
         """One pass of every Gold model: note the hours its inputs touched, rebuild the
         oldest pending ones (all without a cap). Returns the models that rebuilt any."""
         done = self._positions()
-        pass_id = self._next_pass()
+        pass_id = self.progress.last_pass() + 1
         current = {name: table.current() for name, table in self.silver.items()}
-        return sum(self._gold_model(m, done, current, pass_id, max_hours) for m in self.gold_models)
-
-    def _gold_model(self, model, done, current, pass_id, max_hours) -> bool:
-        inputs = {t: current[t] for t in GOLD_INPUTS[model] if current[t] is not None}
-        last = {t: done.get((model, t)) for t in inputs}
-        new = {t: up_to for t, up_to in inputs.items() if last[t] is None or last[t] < up_to}
-        if new:
-            appended = [self.silver[t].appended(last[t], up_to) for t, up_to in new.items()]
-            hours = touched_hours(appended).select(
-                F.lit(model).alias("model"), "hour", F.lit(True).alias("pending")
-            )
-            self.pending.append(hours, pass_id)
-            self.stage_position(model, inputs, pass_id)
-        waiting = still_pending(self.pending.read()).where(F.col("model") == model)
-        hours = oldest_hours(waiting, max_hours)
-        rebuilt = not hours.isEmpty()
-        if rebuilt:
-            self._rebuild(model, inputs, hours)
-            self._clear_pending(model, hours, pass_id)
-        if new:
-            self.mark_done(model, pass_id)
-        return rebuilt
-
-    def _clear_pending(self, model: str, hours: DataFrame, pass_id: int) -> None:
-        cleared = hours.select(F.lit(model).alias("model"), "hour", F.lit(False).alias("pending"))
-        self.pending.append(cleared, pass_id)
-
-    def _rebuild(self, model: str, inputs: Mapping[str, int], hours: DataFrame) -> None:
+        inputs: dict[str, dict[str, int]] = {}
+        touched = []
+        for model in self.gold_models:
+            known = {t: current[t] for t in GOLD_INPUTS[model] if current[t] is not None}
+            last = {t: done.get((model, t)) for t in known}
+            new = {t: n for t, n in known.items() if last[t] is None or last[t] < n}
+            inputs[model] = known
+            if new:
+                appended = [self.silver[t].appended(last[t], n) for t, n in new.items()]
+                touched.append(_pending(model, touched_hours(appended), True))
+        if touched:
+            self.pending.append(union_all(touched), pass_id)
+        self.stage_positions(inputs, pass_id)
+        waiting = self.pending_hours()
+        hours = {
+            model: oldest_hours(waiting.where(F.col("model") == model), max_hours)
+            for model in self.gold_models
+        }
+        rebuilt = []
+
+        def rebuild(model: str) -> None:
+            if self._rebuild(model, inputs[model], hours[model]):
+                rebuilt.append(model)
+
+        try:
+            self._each(list(self.gold_models), rebuild, pass_id)
+        finally:
+            if rebuilt:
+                cleared = [_pending(model, hours[model], False) for model in rebuilt]
+                self.pending.append(union_all(cleared), pass_id)
+        return len(rebuilt)
+
+    def _rebuild(self, model: str, inputs: Mapping[str, int], hours: DataFrame) -> bool:
         """Recompute whole hours from Silver as of the positions read, and replace them."""
-        ranges = hour_islands(hours)
-        listed = ranges.select(
+        ranges = hour_islands(hours).select(
             F.col("range_start").cast("string"), F.col("range_end").cast("string")
-        ).limit(MAX_RANGES + 1).collect()
+        )
+        # Many ranges are not brought to the driver: their hours are joined
+        listed = ranges.limit(MAX_RANGES + 1).collect()
+        if not listed:
+            return False
         silver = {}
-        for name, table in self.silver.items():
+        for name in GOLD_INPUTS[model]:
+            table = self.silver[name]
             rows = table.as_of(inputs[name]) if name in inputs else table.read().where(F.lit(False))
             if len(listed) <= MAX_RANGES:
                 silver[name] = hour_ranges_filter(rows, [tuple(r) for r in listed])
@@ -367,6 +413,7 @@ class Pipeline:
             "silver_snapshot_id", F.lit(snapshot).cast("bigint")
         )
         replace_hours(rows, self.gold_path(model), gold_time(model))
+        return True
 
     def gold_path(self, model: str) -> str:
         return f"{self.root}/gold/{model}"
@@ -409,6 +456,10 @@ class Pipeline:
         raise RuntimeError(f"backlog left after {max_passes} passes: {backlog}")
 
 
+def _pending(model: str, hours: DataFrame, pending: bool) -> DataFrame:
+    return hours.select(F.lit(model).alias("model"), "hour", F.lit(pending).alias("pending"))
+
+
 def gold_time(model: str) -> str:
     return "minute" if model.endswith("_minute") else "hour"
 

@@ -29,6 +29,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def partition_folders(spark: SparkSession, path: str, levels: int = 1) -> list[str]:
+    """Partition folders below `path`: names only, no data."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path + "/*=*" * levels)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(status.getPath().toString()) for status in fs.globStatus(target) or []]
+
+
 def read_parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A partitioned table with a declared schema; no rows before its first write."""
     if not path_exists(spark, path):
@@ -92,7 +99,8 @@ class CommitTable:
 
     def current(self) -> int | None:
         """The latest finished commit."""
-        return self.commits().agg(F.max(COMMIT)).first()[0]
+        lines = partition_folders(self.spark, self.log_path)
+        return max((int(line.rsplit("=", 1)[1]) for line in lines), default=None)
 
     def read(self) -> DataFrame:
         stored = T.StructType(
@@ -142,11 +150,13 @@ HOUR_KEY = "hour_key"
 def replace_hours(rows: DataFrame, path: str, time_column: str = "hour") -> None:
     """Replace exactly the hours present in the rows; the other hours stay as they are.
 
-    `rebalance` gives one file per hour, and splits an hour too large for one task."""
+    The rows are aggregates, a bounded number per hour: one file each. Hours are spread
+    over a fixed number of tasks, since their files, not their bytes, take the time."""
     key = F.date_format(F.col(time_column), "yyyy-MM-dd-HH")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         rows.withColumn(HOUR_KEY, key)
-        .hint("rebalance", HOUR_KEY)
+        .repartition(tasks, HOUR_KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
