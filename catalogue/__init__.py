@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "medallion", "relational", "stateful")
+MODULES = ("scalars", "medallion", "relational", "stateful", "costs")
 
 
 def load() -> None:

@@ -13,7 +13,7 @@ from catalogue.shape import bronze_rows, calendar_rows, message_rows, with_ctes
 Build = Callable[["Tables"], DataFrame]
 
 QUERIES: dict[str, Build] = {}
-DECIMALS = 4
+DECIMALS = 6
 
 
 @dataclass(frozen=True)

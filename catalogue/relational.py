@@ -176,7 +176,7 @@ def join_correlated_max(t: Tables):
 @query(
     "join_send_times",
     """SELECT a.kafka_partition::BIGINT AS kafka_partition, a.kafka_offset,
-        epoch_ms(a.processed_at) - epoch_ms(s.event_time) AS wait_ms
+        epoch_us(a.processed_at) // 1000 - epoch_us(s.event_time) // 1000 AS wait_ms
     FROM (SELECT kafka_partition, kafka_offset, min(processed_at) AS processed_at
           FROM bronze GROUP BY 1, 2) AS a
     JOIN shaped AS s USING (kafka_partition, kafka_offset)""",
@@ -272,7 +272,7 @@ def agg_first_copy(t: Tables):
 CTES["latencies"] = (
     "bronze",
     """SELECT kafka_partition, kafka_offset, CAST(floor(epoch(processed_at)) AS BIGINT) // 300 * 300
-        AS window_epoch, collection, epoch_ms(processed_at) - epoch_ms(event_time) AS latency_ms
+        AS window_epoch, collection, epoch_us(processed_at) // 1000 - epoch_us(event_time) // 1000 AS latency_ms
     FROM (SELECT kafka_partition, kafka_offset, min(processed_at) AS processed_at,
             min(event_time) AS event_time, any_value(collection) AS collection
           FROM bronze GROUP BY 1, 2)""",

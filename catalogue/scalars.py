@@ -177,7 +177,7 @@ def epoch_window(t: Tables):
 @query(
     "latency_ms",
     """SELECT seq, kafka_offset, commit_id,
-        epoch_ms(processed_at) - epoch_ms(event_time) AS latency_ms FROM bronze""",
+        epoch_us(processed_at) // 1000 - epoch_us(event_time) // 1000 AS latency_ms FROM bronze""",
     "bronze",
 )
 def latency_ms(t: Tables):

@@ -183,19 +183,23 @@ def message_rows(bronze: DataFrame) -> DataFrame:
 
 
 def calendar_rows(bronze: DataFrame) -> DataFrame:
-    """One row per UTC day of the data: its branch by parity, its first and last instant,
-    and when it caught up (six hours in; never on every fifth day)."""
+    """One row per UTC day of the data: its branch by parity, the range of its samples (it
+    overlaps the next day's), and when it caught up (never on every fifth day)."""
     day = F.to_date("event_time").alias("day")
     days = bronze.groupBy(day).agg(F.lit(1).alias("_one"))
-    start = F.col("day").cast("timestamp")
+    midnight = F.col("day").cast("timestamp")
+
+    def at(hours: float):
+        return midnight + F.make_dt_interval(mins=F.lit(int(hours * 60)))
+
     number = F.date_diff("day", F.lit("2024-01-01").cast("date"))
     return days.select(
         "day",
         F.when(number % 2 == 0, "duckdb").otherwise("spark").alias("branch"),
         F.when(number % 7 == 3, "spark").alias("forced_branch"),
-        start.alias("start_ts"),
-        (start + F.make_dt_interval(days=F.lit(1))).alias("end_ts"),
-        F.when(number % 5 != 0, start + F.make_dt_interval(hours=F.lit(6))).alias("caught_up_at"),
+        at(7).alias("start_ts"),
+        at(31.5).alias("end_ts"),
+        F.when(number % 5 != 0, at(13)).alias("caught_up_at"),
     )
 
 
@@ -203,8 +207,9 @@ CTES["calendar"] = (
     "shaped",
     """SELECT day, CASE WHEN number % 2 = 0 THEN 'duckdb' ELSE 'spark' END AS branch,
         CASE WHEN number % 7 = 3 THEN 'spark' END AS forced_branch,
-        CAST(day AS TIMESTAMP) AS start_ts, CAST(day AS TIMESTAMP) + INTERVAL 1 DAY AS end_ts,
-        CASE WHEN number % 5 != 0 THEN CAST(day AS TIMESTAMP) + INTERVAL 6 HOUR END AS caught_up_at
+        CAST(day AS TIMESTAMP) + INTERVAL 7 HOUR AS start_ts,
+        CAST(day AS TIMESTAMP) + INTERVAL 1890 MINUTE AS end_ts,
+        CASE WHEN number % 5 != 0 THEN CAST(day AS TIMESTAMP) + INTERVAL 13 HOUR END AS caught_up_at
     FROM (SELECT DISTINCT CAST(event_time AS DATE) AS day,
             CAST(event_time AS DATE) - DATE '2024-01-01' AS number FROM shaped)""",
 )

@@ -10,7 +10,7 @@ from tidemark import contract as c
 from tidemark.operators.aggregates import per_unit, ratio_of_sums
 from tidemark.operators.percentiles import percentile_within_group
 
-WINDOW = ["window_epoch", "branch"]
+WINDOW = ["day", "window_epoch", "branch"]
 
 
 def restarted_windows(services: DataFrame) -> DataFrame:
@@ -38,9 +38,7 @@ def benchmark_ratios(
     )
     messages = F.col("messages")
     return clean_windows(branches, services).join(layers, WINDOW).select(
-        "day",
-        "branch",
-        "window_epoch",
+        *WINDOW,
         "regime",
         "rate_bucket",
         "messages",

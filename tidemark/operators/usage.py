@@ -304,6 +304,16 @@ def phase_usage(usage: DataFrame, layers: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
+USAGE_FIGURES = ("cpu_ms", "ram_mib_s", "swap_mib_s", "peak_anon_mib", "majfaults", "covered_s")
+
+
+def usage_by_layer(by_layer: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """One row per phase with a map layer -> figures (a handful of layers)."""
+    figures = F.struct(*USAGE_FIGURES, "restarted")
+    entry = F.struct(F.col("layer"), figures)
+    return by_layer.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
 def resources_series(samples: DataFrame) -> DataFrame:
     """Per minute, branch and layer: CPU cores and mean memory, services added up.
 
