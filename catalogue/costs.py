@@ -426,8 +426,8 @@ def rebuild_day(t: Tables):
 
 
 RATIO_DOUBLES = (
-    "latency_p50_ms latency_p95_ms cpu_ms_per_message ram_mib_s_per_10k_messages"
-    " swap_mib_s_per_10k_messages psi_mem_ms peak_anon_mib"
+    "latency_p50_ms latency_p95_ms cpu_ms_per_message ram_mib_s_per_10k_messages:1"
+    " swap_mib_s_per_10k_messages:3 psi_mem_ms peak_anon_mib"
 )
 
 
@@ -453,7 +453,7 @@ SUMMARY = """count(*) AS windows, CAST(sum(messages) AS BIGINT) AS messages,
     quantile_cont(latency_p50_ms, 0.5) AS latency_p50_ms,
     quantile_cont(latency_p95_ms, 0.5) AS latency_p95_ms, max(peak_anon_mib) AS peak_anon_mib"""
 SUMMARY_DOUBLES = (
-    "cpu_ms_per_message ram_mib_s_per_10k_messages latency_p50_ms latency_p95_ms peak_anon_mib"
+    "cpu_ms_per_message ram_mib_s_per_10k_messages:1 latency_p50_ms latency_p95_ms peak_anon_mib"
 )
 AS_OF = date(2024, 1, 31)
 

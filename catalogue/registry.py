@@ -20,14 +20,15 @@ DECIMALS = 6
 class Oracle:
     sql: str
     ctes: tuple[str, ...]
-    doubles: tuple[str, ...]
+    doubles: dict[str, int]
 
     def text(self) -> str:
         whole = with_ctes(self.sql, list(self.ctes))
         if not self.doubles:
             return whole
         rounded = ", ".join(
-            f"round(CAST({name} AS DOUBLE), {DECIMALS}) AS {name}" for name in self.doubles
+            f"round(CAST({name} AS DOUBLE), {places}) AS {name}"
+            for name, places in self.doubles.items()
         )
         return f"SELECT * REPLACE ({rounded}) FROM ({whole}) AS result"
 
@@ -62,19 +63,24 @@ class Tables:
 
 def query(name: str, sql: str | None = None, ctes: str = "", doubles: str = ""):
     """Register a query under `name`. `sql` may use the named `ctes`; `doubles` are the
-    columns compared to a fixed number of decimals."""
+    columns compared to a number of decimals, six or as in `name:3`."""
 
     def register(build: Build) -> Build:
         assert name not in QUERIES, name
         QUERIES[name] = build
         if sql is not None:
-            ORACLES[name] = Oracle(sql, tuple(ctes.split()), tuple(doubles.split()))
+            ORACLES[name] = Oracle(sql, tuple(ctes.split()), decimals(doubles))
         return build
 
     return register
 
 
-def finish(rows: DataFrame) -> DataFrame:
+def decimals(doubles: str) -> dict[str, int]:
+    named = [entry.partition(":") for entry in doubles.split()]
+    return {name: int(places or DECIMALS) for name, _, places in named}
+
+
+def finish(rows: DataFrame, places: dict[str, int] | None = None) -> DataFrame:
     """Plain types both engines print alike: no zones, whole widths, rounded doubles."""
     columns = []
     for f in rows.schema.fields:
@@ -86,13 +92,15 @@ def finish(rows: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.IntegerType):
             column = column.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType):
-            column = F.round(column, DECIMALS)
+            column = F.round(column, (places or {}).get(f.name, DECIMALS))
         columns.append(column.alias(f.name))
     return rows.select(*columns)
 
 
-def runnable(build: Build) -> Callable[[SparkSession, str], DataFrame]:
+def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    places = ORACLES[name].doubles if name in ORACLES else None
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return finish(build(Tables(spark, folder)))
+        return finish(QUERIES[name](Tables(spark, folder)), places)
 
     return run

@@ -14,12 +14,15 @@ MAX_BROADCAST_ROWS = 50_000
 
 
 def checked_broadcast(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """`side` with a broadcast hint if it has at most `max_rows` rows, else as it is.
-
-    The count stops at the bound, it never reads a large side whole."""
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    return side
+    """`side` to be broadcast if it has at most `max_rows` rows, else as it is.
+
+    The check stops at the bound: a large side is never read whole, and joins by a
+    shuffle. The few rows it found are kept, so a side that is itself computed is not
+    computed again by each join."""
+    found = side.limit(max_rows + 1).toArrow()
+    if found.num_rows > max_rows:
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(found, side.schema))
 
 
 def join_inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 All inputs here are window figures: one row per five minutes and branch, service or
 database, whatever the number of events behind them."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract as c
@@ -27,17 +27,29 @@ def clean_windows(branches: DataFrame, services: DataFrame) -> DataFrame:
 def benchmark_ratios(
     branches: DataFrame, services: DataFrame, seconds: int = c.WINDOW_SECONDS
 ) -> DataFrame:
-    """Cost per message, window and layer, over clean and covered windows."""
-    covered = services.where(F.col("covered_s") >= F.lit(seconds * c.MIN_COVERAGE))
-    layers = covered.groupBy(*WINDOW, "layer").agg(
-        F.sum("cpu_ms").alias("_cpu"),
-        F.sum("ram_mib_s").alias("_ram"),
-        F.sum("swap_mib_s").alias("_swap"),
-        F.sum("psi_mem_ms").alias("psi_mem_ms"),
-        F.max("peak_anon_mib").alias("peak_anon_mib"),
+    """Cost per message, window and layer, over clean and covered windows.
+
+    The restarts of a window ride along with its layers, of which there are a few: the
+    services are read once."""
+    covered = F.col("covered_s") >= F.lit(seconds * c.MIN_COVERAGE)
+
+    def of_covered(figure: str) -> Column:
+        return F.when(covered, F.col(figure))
+
+    layers = services.groupBy(*WINDOW, "layer").agg(
+        F.sum(of_covered("cpu_ms")).alias("_cpu"),
+        F.sum(of_covered("ram_mib_s")).alias("_ram"),
+        F.sum(of_covered("swap_mib_s")).alias("_swap"),
+        F.sum(of_covered("psi_mem_ms")).alias("psi_mem_ms"),
+        F.max(of_covered("peak_anon_mib")).alias("peak_anon_mib"),
+        F.count_if(covered).alias("_covered"),
+        F.bool_or("restarted").alias("_restarted"),
     )
+    any_restart = F.max("_restarted").over(Window.partitionBy(*WINDOW))
+    kept = layers.withColumn("_restarted", any_restart).where("_covered > 0 AND NOT _restarted")
+    clean = branches.where(~F.col("host_contaminated"))
     messages = F.col("messages")
-    return clean_windows(branches, services).join(layers, WINDOW).select(
+    return clean.join(kept, WINDOW).select(
         *WINDOW,
         "regime",
         "rate_bucket",

@@ -44,18 +44,22 @@ class DayInputs:
     postgres_service: str
 
 
-def in_day(rows: DataFrame, days: DataFrame, ts: str = "ts") -> DataFrame:
-    """Rows of each day's [start, end), the start moved back to its window's.
-
-    Days meet rows by the dates both touch, an equality; the range is checked after."""
+def day_dates(days: DataFrame) -> DataFrame:
+    """Each day's [start, end), the start moved back to its window's, once per date it
+    touches."""
     start = F.timestamp_seconds(epoch_window(F.col("start_ts")))
     calendar = days.select("day", start.alias("_start"), instant(F.col("end_ts")).alias("_end"))
     dates = F.explode(F.sequence(F.to_date("_start"), F.to_date("_end")))
-    calendar = checked_broadcast(calendar.withColumn("_date", dates))
+    return checked_broadcast(calendar.withColumn("_date", dates))
+
+
+def in_day(rows: DataFrame, dates: DataFrame, ts: str = "ts") -> DataFrame:
+    """Rows of each day's range. Days meet rows by the dates both touch, an equality; the
+    range is checked after."""
     moment = instant(F.col(ts))
     return (
         rows.withColumn("_date", F.to_date(moment))
-        .join(calendar, "_date")
+        .join(dates, "_date")
         .where((moment >= F.col("_start")) & (moment < F.col("_end")))
         .drop("_date", "_start", "_end")
     )
@@ -65,7 +69,7 @@ def day_windows(
     inputs: DayInputs, max_gap_seconds: float = c.MAX_SAMPLE_GAP_SECONDS
 ) -> dict[str, DataFrame]:
     """The three tables of windows: services, catalogs, branches."""
-    days = inputs.days
+    days = day_dates(inputs.days)
     built = service_windows(
         in_day(inputs.samples, days), ["day", "service"], max_gap_seconds=max_gap_seconds
     )
@@ -79,11 +83,13 @@ def day_windows(
     return {
         "service_windows": services,
         "catalog_windows": catalogs.withColumn("branch", owner),
-        "branch_windows": branch_windows(inputs, built),
+        "branch_windows": branch_windows(inputs, built, days),
     }
 
 
-def branch_windows(inputs: DayInputs, service_usage: DataFrame) -> DataFrame:
+def branch_windows(
+    inputs: DayInputs, service_usage: DataFrame, dates: DataFrame
+) -> DataFrame:
     """Messages, latency, regime and traffic level per window, with the host's health.
 
     The neighbours' CPU is what the host used beyond all sampled services of the day,
@@ -92,7 +98,7 @@ def branch_windows(inputs: DayInputs, service_usage: DataFrame) -> DataFrame:
         "day", "kafka_partition", "kafka_offset", "collection", "event_time", "processed_at"
     )
     messages = message_windows(message_percentiles(bronze, DAY), DAY)
-    hosts = host_windows(in_day(inputs.host_samples, inputs.days), DAY)
+    hosts = host_windows(in_day(inputs.host_samples, dates), DAY)
     health = neighbour_cores(hosts, service_usage, keys=DAY)
     health = health.select(
         "day",
