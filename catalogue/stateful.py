@@ -32,9 +32,12 @@ def bronze_table(t: Tables, name: str) -> tables.CommitTable:
 
 
 def commits(t: Tables):
-    """The Bronze rows of each commit, in order."""
+    """The Bronze rows of each commit, in order, laid out by commit once."""
+    path = scratch_path(t.spark, "commits")
+    t.bronze.write.partitionBy("commit_id").parquet(path)
+    rows = t.spark.read.parquet(path)
     for commit in range(1, COMMITS + 1):
-        yield commit, t.bronze.where(F.col("commit_id") == commit)
+        yield commit, rows.where(F.col("commit_id") == commit)
 
 
 def stored(t: Tables, name: str) -> tables.CommitTable:
