@@ -88,9 +88,8 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _drop_if_any(left: DataFrame, side: DataFrame, condition: Column) -> DataFrame:
-    """Left rows meeting `condition` go when `side` has any row: one flag row decides."""
-    flag = side.limit(1).agg((F.count(F.lit(1)) > 0).alias("_any"))
-    return left.crossJoin(F.broadcast(flag)).where(~(F.col("_any") & condition)).drop("_any")
+    """Left rows meeting `condition` go when `side` has any row: its first one decides."""
+    return left.join(F.broadcast(side.limit(1)), condition, "left_anti")
 
 
 def _drop_possible(left: DataFrame, side: DataFrame, usable: list[tuple[str, str]]) -> DataFrame:

@@ -116,7 +116,8 @@ def freeze_slice(
     # back gives `partition` as data
     laid_out = sliced.withColumn("topic_partition", F.col("partition"))
     laid_out.write.mode("errorifexists").partitionBy("topic_partition").parquet(path)
-    frozen = messages.sparkSession.read.parquet(path).drop("topic_partition")
+    reader = messages.sparkSession.read.schema(laid_out.schema)
+    frozen = reader.parquet(path).drop("topic_partition")
     copied = frozen.count()
     wanted = sliced.count() if expected is None else expected
     if copied == 0:
