@@ -741,8 +741,8 @@ def _transform(figure: str) -> str:
         CASE WHEN relevant THEN latency_p95_ms END AS latency_p95_ms,
         i_cpu / bronze_messages AS ingest_cpu_ms_per_message,
         i_ram * 10000 / bronze_messages AS ingest_ram_mib_s_per_10k_messages, i_peak AS ingest_peak_mib,
-        t_cpu / bronze_messages AS transform_cpu_ms_per_message,
-        t_ram * 10000 / bronze_messages AS transform_ram_mib_s_per_10k_messages,
+        coalesce(t_cpu, 0) / bronze_messages AS transform_cpu_ms_per_message,
+        coalesce(t_ram, 0) * 10000 / bronze_messages AS transform_ram_mib_s_per_10k_messages,
         26280.0 AS transform_seconds, bronze_messages / 26280.0 AS transform_rows_per_s
     FROM (SELECT *, day(CAST(run_id AS DATE)) % 3 != 0 AS relevant FROM arrival_figures) AS a
     JOIN phases USING (run_id)

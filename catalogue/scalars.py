@@ -306,8 +306,7 @@ def hour_ranges(t: Tables):
     hours = t.events.groupBy(F.date_trunc("HOUR", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.sum("value").alias("v")
     )
-    mean = hours.agg((F.avg("v") * 1.3).alias("limit"))
-    busy = hours.crossJoin(F.broadcast(mean)).where("v > limit")
+    busy = hours.where(F.col("v") > hours.agg(F.avg("v") * 1.3).scalar())
     ranges = hour_islands(busy).selectExpr("cast(range_start as string)", "cast(range_end as string)")
     # Ranges of hours: at most one per two hours of the time covered
     listed = [tuple(row) for row in ranges.collect()]

@@ -42,8 +42,12 @@ def layers(spark, bronze, **silver):
     """(seq, collection, operation, commit, minutes) and (seq, minutes) rows."""
 
     def timed(rows, schema):
-        full = [(*row[:-1], T0 + timedelta(minutes=row[-1])) for row in rows]
-        return spark.createDataFrame(full, f"{schema}, processed_at timestamp")
+        # The event's time follows from the event
+        full = [
+            (*row[:-1], T0 + timedelta(seconds=row[0]), T0 + timedelta(minutes=row[-1]))
+            for row in rows
+        ]
+        return spark.createDataFrame(full, f"{schema}, event_time timestamp, processed_at timestamp")
 
     left = timed(bronze, "seq bigint, collection string, operation string, commit_id bigint")
     return left, {name: timed(silver.get(name, []), "seq bigint") for name in SILVER}

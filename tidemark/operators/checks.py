@@ -12,10 +12,17 @@ from tidemark.functions.labels import silver_model
 from tidemark.operators.aggregates import having_more_than
 from tidemark.operators.joins import join_cross_values, join_offset_range
 from tidemark.operators.sets import union_all
+from tidemark.sources.tables import DAY, between_times, time_bounds
 
 
 def recent(rows: DataFrame, since: Column | None, ts: str = "processed_at") -> DataFrame:
-    return rows if since is None else rows.where(F.col(ts) >= since)
+    """Rows from a moment on; on the event time, days before it are not opened."""
+    if since is None:
+        return rows
+    kept = rows.where(F.col(ts) >= since)
+    if ts == "event_time" and DAY in rows.columns:
+        kept = kept.where(F.col(DAY) >= F.to_date(since))
+    return kept
 
 
 def check_not_null(rows: DataFrame, column: str) -> DataFrame:
@@ -66,7 +73,16 @@ def check_silver_matches_bronze(
     Bronze is read once for every model, labelled with the model each row belongs to; the
     Silver tables are stacked under the same labels; one outer join by (model, seq)
     compares them. `read_up_to` is the commit each model has read: later Bronze rows do
-    not count, and a model without a position expects nothing."""
+    not count, and a model without a position expects nothing.
+
+    With `since`, events processed from then on are checked. Both layers are read over
+    the range of event times those have: copies of an event share its time."""
+    if since is not None:
+        found = [recent(rows, since).select("event_time") for rows in (bronze, *silver.values())]
+        bounds = time_bounds(union_all(found))
+        if bounds is not None:
+            bronze = between_times(bronze, *bounds)
+            silver = {name: between_times(rows, *bounds) for name, rows in silver.items()}
     model = silver_model(F.col("collection"), F.col("operation"))
     labelled = bronze.withColumn("model", model).where(F.col("model").isin(*silver))
     # `expected` are the rows Silver has to hold; the others only prove that an event

@@ -58,10 +58,6 @@ def hour_islands(hours: DataFrame, hour: str = "hour") -> DataFrame:
 
 
 def first_flag(rows: DataFrame, column: str, name: str = "is_first") -> DataFrame:
-    """`column = min(column) OVER ()`: the minimum is one row joined to all others."""
-    lowest = rows.agg(F.min(column).alias("_lowest"))
-    return (
-        rows.crossJoin(F.broadcast(lowest))
-        .withColumn(name, F.col(column) == F.col("_lowest"))
-        .drop("_lowest")
-    )
+    """`column = min(column) OVER ()`, the minimum as a scalar subquery: a window over all
+    rows would bring them into one task."""
+    return rows.withColumn(name, F.col(column) == rows.agg(F.min(column)).scalar())

@@ -67,9 +67,10 @@ def capped_range_bytes(
     content: str = "record",
 ) -> DataFrame:
     """The same, then capped again by the length of `content` over that range only."""
-    up_to = capped_range(commits, max_rows, after)
+    # As a value, so that the range prunes partitions before the content is read
+    up_to = capped_range(commits, max_rows, after).first()["read_up_to"]
     new = rows if after is None else rows.where(F.col(COMMIT) > after)
-    within = new.join(F.broadcast(up_to), F.col(COMMIT) <= F.col("read_up_to"))
+    within = new.where(F.col(COMMIT) <= F.lit(up_to).cast("bigint"))
     sizes = within.groupBy(COMMIT).agg(F.sum(F.length(content)).alias("_length"))
     return _cap(sizes, "_length", max_length, COMMIT)
 
@@ -101,10 +102,8 @@ def first_touch_cap(touched: DataFrame, max_hours: int) -> DataFrame:
     over = totals.where((F.col("_total") > max_hours) & (F.col("_rank") > 1)).agg(
         (F.min(COMMIT) - 1).alias("_over")
     )
-    last = touched.agg(F.max(COMMIT).alias("_last"))
-    return over.crossJoin(F.broadcast(last)).select(
-        F.coalesce("_over", "_last").alias("read_up_to")
-    )
+    last = touched.agg(F.max(COMMIT)).scalar()
+    return over.select(F.coalesce(F.col("_over"), last).alias("read_up_to"))
 
 
 # --- State tables -----------------------------------------------------------------------
@@ -129,10 +128,8 @@ def position_or_rows(
     done = last_positions(progress.where(F.col("model") == model), ["model"]).agg(
         F.max("position").alias("_done")
     )
-    stored = rows.agg(F.max(column).alias("_stored"))
-    return done.crossJoin(F.broadcast(stored)).select(
-        F.coalesce("_done", "_stored").alias("position")
-    )
+    stored = rows.agg(F.max(column)).scalar()
+    return done.select(F.coalesce(F.col("_done"), stored).alias("position"))
 
 
 def still_pending(log: DataFrame) -> DataFrame:
