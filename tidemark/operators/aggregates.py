@@ -58,12 +58,10 @@ def first_copy(
     rows: DataFrame, keys: Sequence[str] = ("kafka_partition", "kafka_offset")
 ) -> DataFrame:
     """One row per message: earliest write and event time over its copies. The collection
-    is the same on every copy; `min` makes the choice deterministic. Copies collapse
-    before the shuffle, whatever their number."""
-    return rows.groupBy(*keys).agg(
-        F.min("processed_at").alias("processed_at"),
-        F.min("event_time").alias("event_time"),
-        F.min("collection").alias("collection"),
+    is part of the message, the same on every copy: grouping by it keeps this a hash
+    aggregate. Copies collapse before the shuffle, whatever their number."""
+    return rows.groupBy(*keys, "collection").agg(
+        F.min("processed_at").alias("processed_at"), F.min("event_time").alias("event_time")
     )
 
 

@@ -121,10 +121,6 @@ def check_silver_matches_bronze(
     )
 
 
-def _per_hour(rows: DataFrame, value: Column, name: str = "silver_value") -> DataFrame:
-    return rows.groupBy(F.date_trunc("HOUR", "event_time").alias("hour")).agg(value.alias(name))
-
-
 def check_gold_matches_silver(
     silver: Mapping[str, DataFrame],
     gold: Mapping[str, DataFrame],
@@ -142,51 +138,67 @@ def check_gold_matches_silver(
     engagement = recent(gold["gold_engagement_hour"], since_hour, "hour")
     users = recent(gold["gold_active_users_hour"], since_hour, "hour")
 
-    events = likes.select("event_time", F.lit("like").alias("kind")).unionByName(
-        posts.select("event_time", F.lit("post").alias("kind"))
+    nobody = F.lit(None).cast("string").alias("did")
+    events = likes.select("event_time", F.lit(True).alias("like"), "did").unionByName(
+        posts.select("event_time", F.lit(False).alias("like"), nobody)
     )
-    counted = events.groupBy(F.date_trunc("HOUR", "event_time").alias("hour")).agg(
-        F.count_if(F.col("kind") == "like").alias("silver_value"),
-        F.count_if(F.col("kind") == "post").alias("silver_posts"),
+    # One recount serves the three models; accounts are those of the likes
+    recount = events.groupBy(F.date_trunc("HOUR", "event_time").alias("hour")).agg(
+        F.count_if("like").alias("s_likes"),
+        F.count_if(~F.col("like")).alias("s_posts"),
+        F.count_distinct("did").alias("s_likers"),
     )
 
     def creates(collection: str) -> Column:
         return F.sum(F.when(F.col("collection") == collection, F.col("creates")))
 
-    stored = activity.groupBy(F.date_trunc("HOUR", "minute").alias("hour")).agg(
-        creates(c.LIKE).alias("gold_value"), creates(c.POST).alias("gold_posts")
-    )
+    stored = [
+        activity.groupBy(F.date_trunc("HOUR", "minute").alias("hour")).agg(
+            creates(c.LIKE).alias("a_likes"), creates(c.POST).alias("a_posts")
+        ),
+        engagement.select("hour", F.col("likes").alias("e_likes")),
+        users.where(F.col("collection") == c.LIKE).select(
+            "hour", F.col("active_accounts").alias("u_likers")
+        ),
+    ]
+    hours = recount
+    for side in stored:
+        hours = hours.join(side, "hour", "full_outer")
 
     def differ(a: str, b: str) -> Column:
         return F.coalesce(F.col(a), F.lit(0)) != F.coalesce(F.col(b), F.lit(0))
 
-    def compare(name: str, left: DataFrame, right: DataFrame, rule: Column) -> DataFrame:
-        return left.join(right, "hour", "full_outer").where(rule).select(
-            F.lit(name).alias("model"), "hour", "silver_value", "gold_value"
+    def result(model: str, silver_value: Column, gold_value: str, wrong: Column) -> Column:
+        return F.struct(
+            F.lit(model).alias("model"),
+            silver_value.alias("silver_value"),
+            F.col(gold_value).alias("gold_value"),
+            wrong.alias("wrong"),
         )
 
-    values = differ("silver_value", "gold_value")
-    found = union_all(
-        [
-            compare(
-                "gold_activity_minute", counted, stored, values | differ("silver_posts", "gold_posts")
-            ),
-            compare(
-                "gold_engagement_hour",
-                _per_hour(likes, F.count(F.lit(1))),
-                engagement.select("hour", F.col("likes").alias("gold_value")),
-                values,
-            ),
-            compare(
-                "gold_active_users_hour",
-                _per_hour(likes, F.count_distinct("did")),
-                users.where(F.col("collection") == c.LIKE).select(
-                    "hour", F.col("active_accounts").alias("gold_value")
-                ),
-                values,
-            ),
-        ]
+    none = F.lit(0)
+    results = F.array(
+        result(
+            "gold_activity_minute",
+            F.col("s_likes"),
+            "a_likes",
+            differ("s_likes", "a_likes") | differ("s_posts", "a_posts"),
+        ),
+        result(
+            "gold_engagement_hour",
+            F.nullif("s_likes", none),
+            "e_likes",
+            differ("s_likes", "e_likes"),
+        ),
+        result(
+            "gold_active_users_hour",
+            F.nullif("s_likers", none),
+            "u_likers",
+            differ("s_likers", "u_likers"),
+        ),
     )
+    found = hours.select("hour", F.inline(results)).where("wrong")
+    found = found.select("model", "hour", "silver_value", "gold_value")
     if pending is None:
         return found
     return found.join(pending.select("model", "hour").distinct(), ["model", "hour"], "left_anti")

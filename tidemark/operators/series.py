@@ -1,8 +1,8 @@
 """Time series of cumulative counters: consecutive samples, and their split over windows.
 
 A lag window over a whole series would put a busy series in one task. Series are cut into
-chunks of time; each chunk is handed the last sample before it, so every pair of
-consecutive samples is still found exactly once."""
+chunks of time: pairs are found within each chunk, and the ends of neighbouring chunks are
+paired on their own, so every two consecutive samples still meet exactly once."""
 
 from collections.abc import Sequence
 
@@ -25,31 +25,20 @@ def consecutive_pairs(
     """Structs `a` and `b` (all columns of the input) for each two consecutive samples of a
     series; rows carry the series columns too.
 
-    The hand-over table holds one row per series and chunk."""
+    Both halves of the result read the one shuffle by (series, chunk). The ends of the
+    chunks are one row per series and chunk."""
     series = list(series)
     row = F.struct(*[F.col(name) for name in samples.columns])
-    order_key = F.struct(F.col(ts), *tie_break)
     chunk = F.floor(F.unix_seconds(instant(F.col(ts))) / F.lit(chunk_seconds))
-    chunked = samples.select(
-        *series, chunk.alias("_chunk"), order_key.alias("_order"), row.alias("b")
-    )
-    last = chunked.groupBy(*series, "_chunk").agg(F.max_by("b", "_order").alias("b"))
-    following = F.lead("_chunk").over(Window.partitionBy(*series).orderBy("_chunk"))
-    handed = last.withColumn("_chunk", following).where("_chunk IS NOT NULL")
-    both = chunked.select(*series, "_chunk", "_order", "b", F.lit(False).alias("_handed")).unionByName(
-        handed.select(
-            *series,
-            "_chunk",
-            F.struct(F.col("b")[ts].alias(ts), *[F.col("b")[t].alias(t) for t in tie_break]).alias(
-                "_order"
-            ),
-            "b",
-            F.lit(True).alias("_handed"),
-        )
-    )
-    order = Window.partitionBy(*series, "_chunk").orderBy("_order")
-    paired = both.withColumn("a", F.lag("b").over(order))
-    return paired.where(~F.col("_handed") & F.col("a").isNotNull()).select(*series, "a", "b")
+    chunked = samples.select(*series, chunk.alias("_chunk"), row.alias("b"))
+    within = Window.partitionBy(*series, "_chunk").orderBy(*[f"b.{n}" for n in (ts, *tie_break)])
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    paired = chunked.withColumn("a", F.lag("b").over(within))
+    inner = paired.where("a IS NOT NULL").select(*series, "a", "b")
+    ends = paired.withColumn("_last", F.last("b").over(whole)).where("a IS NULL")
+    across = F.lag("_last").over(Window.partitionBy(*series).orderBy("_chunk"))
+    outer = ends.withColumn("a", across).where("a IS NOT NULL").select(*series, "a", "b")
+    return inner.unionByName(outer)
 
 
 def micros(ts: Column) -> Column:
