@@ -673,7 +673,7 @@ CTES["arrival_figures"] = (
         quantile_cont(ms - sent_ms, 0.95) AS latency_p95_ms
     FROM (SELECT *, min(ms) OVER (PARTITION BY run_id) AS lo FROM arrivals) GROUP BY run_id, lo""",
 )
-PHASE_DOUBLES = "cpu_ms ram_mib_s swap_mib_s peak_anon_mib majfaults covered_s"
+PHASE_DOUBLES = "cpu_ms:3 ram_mib_s:3 swap_mib_s:3 peak_anon_mib majfaults covered_s"
 
 
 def run_usage(t: Tables):
@@ -721,8 +721,8 @@ def arrival_measures(t: Tables):
 
 BENCH_DOUBLES = (
     "throughput_msg_s latency_p50_ms latency_p95_ms ingest_cpu_ms_per_message"
-    " ingest_ram_mib_s_per_10k_messages ingest_peak_mib transform_cpu_ms_per_message"
-    " transform_ram_mib_s_per_10k_messages transform_seconds transform_rows_per_s"
+    " ingest_ram_mib_s_per_10k_messages:1 ingest_peak_mib transform_cpu_ms_per_message"
+    " transform_ram_mib_s_per_10k_messages:1 transform_seconds transform_rows_per_s"
 )
 
 
