@@ -165,12 +165,7 @@ def message_rows(bronze: DataFrame) -> DataFrame:
     # The record goes in as JSON, not as a string holding JSON
     body = F.when(
         F.col("record").isNotNull(),
-        F.concat(
-            F.substring(fields, F.lit(1), F.length(fields) - 1),
-            F.lit(',"record":'),
-            F.col("record"),
-            F.lit("}"),
-        ),
+        F.concat(F.lit('{"record":'), F.col("record"), F.lit(","), F.substr(fields, F.lit(2))),
     ).otherwise(fields)
     value = F.concat(F.lit('{"$type":"'), kind, F.lit('","payload":'), body, F.lit("}"))
     return bronze.select(
