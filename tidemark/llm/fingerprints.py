@@ -8,7 +8,7 @@ every text draws alike. With S its weight,
 
 and the term of least a, with its t, is the sample; a itself tells (term, t) apart. Two texts agree in a sample with the
 probability of their generalised Jaccard similarity: the sum of the lesser weights over the sum of
-the greater. A fingerprint is 32 codes of four hexadecimal digits.
+the greater. A fingerprint is 64 codes of four hexadecimal digits.
 
 r and b are drawn together: with e1 and e2 two exponential draws, r = e1 + e2 is Gamma(2, 1) and
 b = e1 / r is uniform and independent of it. Then r b = e1, and with u1 = exp(-e1), u2 = exp(-e2)
@@ -22,19 +22,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import row_key, stored, whole_text
 
-SAMPLES = 32  # and the columns of their aggregation stay inside one generated function
+BLOCKS, PER_BLOCK = 4, 16  # an aggregation draws 16 samples: the code generated for it stays small
+SAMPLES = BLOCKS * PER_BLOCK
 DIGITS = 4
 EMPTY = "0" * (SAMPLES * DIGITS)  # a text without words
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def sample(number: int) -> str:
-    """SQL for a, of one sample of a term, from `term` (a hash), `weight` and `log_weight`."""
+    """SQL for a, of one sample of a block, from `term` (a hash), `weight`, `log_weight`, `block`."""
 
     def uniform(bits: str, shift: int) -> str:
         return f"(((shiftrightunsigned({bits}, {shift}) & 2097151L) + 0.5D) / 2097152D)"
 
-    x, y = f"xxhash64(term, {2 * number})", f"xxhash64(term, {2 * number + 1})"
+    x, y = f"xxhash64(term, block, {2 * number})", f"xxhash64(term, block, {2 * number + 1})"
     c = f"(0D - ln({uniform(x, 0)} * {uniform(x, 21)}))"
     u1, u2 = uniform(y, 0), uniform(x, 42)
     t = f"floor((log_weight - ln({u1})) / (0D - ln({u1} * {u2})))"
@@ -75,15 +76,19 @@ def fingerprints(texts: DataFrame, keys: list[str], columns: dict[str, str]) ->
         term_weights(texts, keys, columns)
         .select(*keys, "term", F.explode(F.when(alike, shared).otherwise(each)).alias("s"))
         .filter("s.weight > 0")
-        .select(*keys, "term", "s.mask", "s.weight", F.ln("s.weight").alias("log_weight"))
+        .select(*keys, "term", "s.mask", "s.weight", F.ln("s.weight").alias("log_weight"),
+                F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
     )
-    least = weights.groupBy(*keys, "mask").agg(*[F.min(F.expr(sample(i))).alias(f"s{i}") for i in range(SAMPLES)])
-    own = least.groupBy(*keys).agg(*[
+    least = weights.groupBy(*keys, "block", "mask").agg(
+        *[F.min(F.expr(sample(i))).alias(f"s{i}") for i in range(PER_BLOCK)])
+    own = least.groupBy(*keys, "block").agg(*[
         F.min(F.when(F.col("mask").bitwiseAND(1 << j) > 0, F.col(f"s{i}"))).alias(f"{n}_{i}")
-        for j, n in enumerate(names) for i in range(SAMPLES)])
-    return own.select(*keys, *[
-        F.when(F.col(f"{n}_0").isNull(), EMPTY).otherwise(code_string([f"{n}_{i}" for i in range(SAMPLES)])).alias(n)
-        for n in names])
+        for j, n in enumerate(names) for i in range(PER_BLOCK)])
+    coded = own.select(*keys, "block", *[
+        F.when(F.col(f"{n}_0").isNull(), EMPTY[: PER_BLOCK * DIGITS])
+        .otherwise(code_string([f"{n}_{i}" for i in range(PER_BLOCK)])).alias(n) for n in names])
+    return coded.groupBy(*keys).agg(*[
+        F.concat(*[F.max(F.when(F.col("block") == b, F.col(n))) for b in range(BLOCKS)]).alias(n) for n in names])
 
 
 def likeness(left: str, right: str):

@@ -207,3 +207,24 @@ def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document, learned from `docs` itself."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     return identify(rows, fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+LEAST_SCORE = 0.3
+
+
+def accepted(docs: DataFrame, model: Filter, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `docs` whose text has a known language with a score of `least` or more; columns
+    as they are. A null text, or one without a letter, is rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def judge(batches):
+        for batch in batches:
+            texts = [v.as_py() or "" for v in batch.column(at)]
+            keep = []
+            for start, stop in blocks(texts):
+                langs, scores = predict_texts(shared.value, texts[start:stop])
+                keep += [x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, fingerprints, langid, packed_ids, secrets, shards, warc
+from tidemark.llm import bpe, decontaminate, fingerprints, langid, neardup, packed_ids, repeats, secrets, shards, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +36,10 @@ def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.encoded_documents(table(spark, sf_dir, "documents"), path, end_id=1)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
@@ -53,7 +61,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op2_secrets, op3_sharding, op5_packed_ids, op7_language, op8_fingerprints,
-              op9_decontamination, op10_byte_bpe)
+    for f in (op1_warc, op2_secrets, op3_sharding, op4_near_duplicates, op5_packed_ids, op6_repeats,
+              op7_language, op8_fingerprints, op9_decontamination, op10_byte_bpe)
 }
 ORACLE_SQL: dict[str, str] = {}
