@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import whole_text, widened
 
-BLOCK_WORDS = 400_000
-BLOCK_PIECES = 4_000_000
+BLOCK_WORDS = 150_000
+BLOCK_PIECES = 2_000_000
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -36,7 +36,7 @@ class Vocabulary:
         self.token = [b""] * self.size
         for token, rank in ranks.items():
             self.token[rank] = token
-        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         found = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -44,13 +44,13 @@ class Vocabulary:
                 if left is not None and right is not None:
                     found[left * self.size + right] = rank
         self.pairs = np.array(sorted(found), np.int64)
-        self.merged = np.array([found[int(p)] for p in self.pairs], np.int64)
+        self.merged = np.array([found[int(p)] for p in self.pairs], np.int32)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token each pair merges into; `size` where it doesn't merge."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.merged[at], self.size)
+        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.merged[at], np.int32(self.size))
 
 
 @lru_cache(maxsize=2)
@@ -84,7 +84,7 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.n
     leftmost go first. A vocabulary may let a merge make a pair of a lower rank than its own; a
     word where that happens while the same pair waits elsewhere in it is merged by itself."""
     sizes = np.array([len(w) for w in words], np.int64)
-    word_of = np.repeat(np.arange(len(words)), sizes)
+    word_of = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     symbol = vocabulary.byte[np.frombuffer(b"".join(words), np.uint8)]
     n = len(symbol)
     ends = np.cumsum(sizes)
@@ -92,11 +92,11 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.n
     if whole:
         at_whole = np.fromiter(whole, np.int64)
         symbol[np.isin(word_of, at_whole)] = -1  # nothing merges with -1
-    follows = np.arange(1, n + 1)
-    before = np.arange(-1, n - 1)
+    follows = np.arange(1, n + 1, dtype=np.int32)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     follows[ends[sizes > 0] - 1] = n
     before[(ends - sizes)[sizes > 0]] = -1
-    symbol = np.append(symbol, -1)  # position n (and -1) is no symbol
+    symbol = np.append(symbol, np.int32(-1))  # position n (and -1) is no symbol
 
     index: dict[int, list[np.ndarray]] = {}
     queue: list[int] = []
@@ -118,7 +118,7 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.n
                 index[r].append(part)
         return rank
 
-    enter(np.arange(n))
+    enter(np.arange(n, dtype=np.int32))
     while queue:
         rank = heapq.heappop(queue)
         lists = index.pop(rank)
@@ -190,7 +190,7 @@ def encoded_blocks(
 
     for text in texts:
         found = find(text)
-        docs.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
+        docs.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
         held += len(found)
         if len(numbers) >= block_words or held >= block_pieces:
             yield from flush()
