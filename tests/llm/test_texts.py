@@ -304,7 +304,9 @@ def test_repeats_of_nothing(spark):
     assert repeats.without_repeats(frame(spark, [])).count() == 0
 
 
-def test_blocks_do_not_change_repeats(spark, monkeypatch):
-    rows = unique_rows()
-    data = b"".join((r[1] or "").encode() for r in rows)
-    assert len(repeats.leftmost_minima(np.frombuffer(data, np.uint8).astype(np.uint64), 61)) == len(data) - 60
+def test_leftmost_minima():
+    source = np.random.default_rng(4)
+    for width in (1, 2, 5, 64, 77):
+        values = source.integers(0, 9, 300).astype(np.uint64)
+        want = [s + int(values[s : s + width].argmin()) for s in range(len(values) - width + 1)]
+        assert repeats.leftmost_minima(values, width).tolist() == want

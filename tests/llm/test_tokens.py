@@ -36,7 +36,7 @@ def test_bpe_agrees_with_the_library_on_every_row(spark, library):
 def test_bpe_does_not_depend_on_blocks(library):
     texts = [r[1] or "" for r in odd_rows()] + ["a" * 3000, "aaab aaa", "\x1c \x85  x"]
     for words, pieces in ((1, 1), (50, 10**9), (10**9, 10**9)):
-        found = bpe.encoded_blocks(iter(texts), bpe.load(RANKS), public_tokenizers.PATTERN, words, pieces)
+        found = bpe.encoded_texts(iter(texts), bpe.load(RANKS), public_tokenizers.PATTERN, words, pieces)
         assert [x.tolist() for x in found] == [library.encode_ordinary(t) for t in texts]
 
 
@@ -107,5 +107,16 @@ def test_rows_that_repeat_an_id_all_have_their_ids(spark):
     assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
 
 
+def test_words_have_the_ids_of_the_whole_text():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    texts = [r[1] or "" for r in odd_rows()]
+    texts += ["ΟΔΟΣ ΟΔΟΣ. ΟΔΟΣ\nΣ", "a \u0301b e\u0301", "it's\u00a0they'll\x0b\x1c<|endoftext|> x<|endoftext|>y", "  \n \n"]
+    texts += ["x" + chr(c) + "Y 1" + chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    got = list(packed_ids.encoded(iter(texts), WORDS))
+    assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_ids_of_nothing(spark):
     assert packed_ids.encoded_documents(frame(spark, []), WORDS, 1).count() == 0

@@ -10,7 +10,7 @@ nothing is shuffled."""
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.blocks import encoded_blocks
 from tidemark.llm.common import whole_text, widened
 
 BLOCK_WORDS = 150_000
@@ -164,38 +165,15 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.n
     return ids.astype(np.uint32), np.append(0, np.cumsum(counts))
 
 
-class WordNumbers(dict):
-    """Numbers words as they are met."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
-def encoded_blocks(
-    texts: Iterator[str], vocabulary: Vocabulary, pattern: str, block_words: int, block_pieces: int
+def encoded_texts(
+    texts: Iterable[str], vocabulary: Vocabulary, pattern: str, block_words: int, block_pieces: int
 ) -> Iterator[np.ndarray]:
     """The ids of each text, in turn."""
-    find = regex.compile(pattern).findall
-    numbers, docs, held = WordNumbers(), [], 0
-
-    def flush() -> Iterator[np.ndarray]:
-        ids, ends = replay(vocabulary, [w.encode() for w in numbers])
-        sizes = np.diff(ends)
-        for doc in docs:
-            n = sizes[doc]
-            stops = np.cumsum(n)
-            total = int(stops[-1]) if len(doc) else 0
-            yield ids[np.arange(total) - np.repeat(stops - n, n) + np.repeat(ends[doc], n)]
-
-    for text in texts:
-        found = find(text)
-        docs.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-        held += len(found)
-        if len(numbers) >= block_words or held >= block_pieces:
-            yield from flush()
-            numbers, docs, held = WordNumbers(), [], 0
-    yield from flush()
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return replay(vocabulary, [w.encode() for w in words])
+
+    return encoded_blocks(texts, regex.compile(pattern).findall, encode, block_words, block_pieces)
 
 
 def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -219,7 +197,7 @@ def encode_rows(docs: DataFrame, path: str, pattern: str, block_words: int = BLO
                     yield text.as_py() or ""
 
         at, done = text_at, []
-        for ids in encoded_blocks(texts(), load(path), pattern, block_words, block_pieces):
+        for ids in encoded_texts(texts(), load(path), pattern, block_words, block_pieces):
             done.append(ids.astype("<u4").tobytes())
             while waiting and len(done) >= waiting[0].num_rows:
                 batch = waiting.pop(0)

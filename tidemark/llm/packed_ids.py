@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.blocks import encoded_blocks
 from tidemark.llm.common import stored, whole_text
 from tidemark.llm.files import new_file, open_file
 from tidemark.session import scratch_path
@@ -35,7 +36,9 @@ VERSION = 1
 HEADER = struct.Struct("<8sII")
 TRAILER = struct.Struct("<QQQQQ8s")
 BLOCK = 1 << 16
-BATCH_CHARS = 1_000_000
+CALL_WORDS, CALLS = 100, 200  # words of a text given to the library, and texts of a call
+BLOCK_WORDS = 200_000
+BLOCK_PIECES = 2_000_000
 
 MANIFEST = "part int, path string, documents bigint, tokens bigint"
 
@@ -156,21 +159,46 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def encoded(texts: list[str], path: str) -> list[np.ndarray]:
-    found = tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
-    return [np.array(e.ids, np.uint32) for e in found]
-
-
-def batches_of(texts: Iterable[str], limit: int = BATCH_CHARS) -> Iterator[list[str]]:
-    part, held = [], 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= limit:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
+def words_of(text: str) -> list[str]:
+    """The parts between spaces and line feeds. The tokenizer turns white space into spaces and no
+    token reaches over one, so a text's ids are those of its parts in turn."""
+    return [w for w in text.replace("\n", " ").split(" ") if w]
+
+
+def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words one after another, and the n + 1 offsets. Words go to the library many at a
+    time, with a special token between them: the library cuts there before anything else. The few
+    words that hold a special token's text themselves go alone."""
+    library = tokenizer(path)
+    special = {t.content: i for i, t in library.get_added_tokens_decoder().items() if t.special and not t.normalized}
+    between = min(special, key=special.get, default=None)
+    alone = [i for i, w in enumerate(words) if between is None or any(t in w for t in special)]
+    together = np.delete(np.arange(len(words)), alone)
+    calls = [together[i : i + CALL_WORDS] for i in range(0, len(together), CALL_WORDS)]
+    sizes, flat = np.zeros(len(words), np.int64), []
+    for start in range(0, len(calls), CALLS):
+        joined = [between.join([words[i] for i in call.tolist()]) for call in calls[start : start + CALLS]]
+        for call, e in zip(calls[start : start + CALLS], library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(ids == special[between])
+            sizes[call] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            flat.append(ids[ids != special[between]])
+    own = [np.array(e.ids, np.uint32) for e in library.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)]
+    sizes[alone] = [len(x) for x in own]
+    ends = np.append(0, np.cumsum(sizes))
+    out = np.zeros(int(ends[-1]), np.uint32)
+    at = np.ones(len(out), bool)
+    for i, x in zip(alone, own, strict=True):
+        out[ends[i] : ends[i + 1]] = x
+        at[ends[i] : ends[i + 1]] = False
+    if flat:
+        out[at] = np.concatenate(flat)
+    return out, ends
+
+
+def encoded(texts: Iterable[str], path: str) -> Iterator[np.ndarray]:
+    """The ids of each text, in turn; the library encodes every word of a block once."""
+    return encoded_blocks(texts, words_of, lambda words: encode_words(words, path), BLOCK_WORDS, BLOCK_PIECES)
 
 
 def write_ids(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
@@ -196,11 +224,15 @@ def write_ids(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame
         bits = width(max(tokenizer(path).get_vocab_size(), end_id + 1))
         with new_file(name) as out:
             writer = Writer(out, bits)
-            for batch in itertools.chain([first], batches):
-                names = iter(batch.column("doc_id").to_pylist())
-                for texts in batches_of(t.as_py() for t in batch.column("text")):
-                    for ids in encoded(texts, path):
-                        writer.add(next(names), np.append(ids, np.uint32(end_id)))
+            names: list[int | None] = []
+
+            def texts():
+                for batch in itertools.chain([first], batches):
+                    names.extend(batch.column("doc_id").to_pylist())
+                    yield from (t.as_py() for t in batch.column("text"))
+
+            for number, ids in enumerate(encoded(texts(), path)):
+                writer.add(names[number], np.append(ids, np.uint32(end_id)))
             writer.close()
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([part], pa.int32()), "path": [name], "documents": [len(writer.counts)],

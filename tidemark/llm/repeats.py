@@ -13,11 +13,14 @@ the anchor and of all bytes the windows cover. Then
 
 1. rows are sorted by both names. An anchor that is unique leaves with all its windows. A row whose
    whole context stood earlier is a repeat as a whole.
-2. Of rows that come first with their context, but whose anchor also stands in another context, the
-   single windows are sorted by their names of LENGTH bytes, and all but the first are repeats.
-
-Every row carries two names, 128 bits. Rows of one block that are known to repeat, or to share an
-anchor, need not meet the others and are dealt out by names of their own, so a passage that a third
+2. Rows that come first with their context, but whose anchor also stands in another context, are
+   cut into bins of STEP windows, and sorted by the name of the bytes that all windows of a bin
+   share. Unique bins leave.
+3. The single windows of the bins that are left are sorted by two names of LENGTH bytes, and all
+   but the first are repeats.
+
+What decides has two names, 128 bits. Rows of one block that are known to repeat, or to share a
+name, need not meet the others and are dealt out by names of their own, so a passage that a third
 of all texts hold sends a few rows a block, not one a text, to the task of its name."""
 
 import hashlib
@@ -31,17 +34,22 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import NO_ID, mixed, paired, pieces, row_key, stored, text_bytes, whole_text
 
 LENGTH = 100
-GRAM = 40
+GRAM = 24
+STEP = 20
 BLOCK_BYTES = 2_000_000
 
-# part: what a row is dealt out by; state: 0 undecided, 1 the anchor has other contexts, 2 a repeat
-ANCHORS = "part bigint, gram bigint, context bigint, k bigint, th bigint, lo bigint, hi bigint, state tinyint"
-WINDOWS = "part bigint, gram bigint, name bigint, k bigint, th bigint, at bigint, state tinyint"
+# part: what a row is dealt out by; state: 0 undecided, 1 the name is known to stand elsewhere as
+# well, 2 a repeat; lo and hi: first and last window
+ANCHORS = "part bigint, context bigint, k bigint, th bigint, lo bigint, hi bigint, shift bigint, state tinyint"
+BINS = "part bigint, k bigint, th bigint, lo bigint, hi bigint, state tinyint"
+WINDOWS = "part bigint, name bigint, k bigint, th bigint, at bigint, state tinyint"
+SEEDS = (1, 0x51ED2701)
 
 
-def doubled(data: np.ndarray, *lengths: int) -> list[np.ndarray]:
+def doubled(data: np.ndarray, *lengths: int, seed: int = SEEDS[0]) -> list[np.ndarray]:
     """The names of all strings of each of these lengths (ascending), by doubling."""
-    names, length, out = mixed(data.astype(np.uint64) + np.uint64(1)), 1, []
+    first = mixed(np.arange(256, dtype=np.uint64) + np.uint64(seed))
+    names, length, out = first[data], 1, []
     for wanted in lengths:
         while length * 2 <= wanted:
             names = paired(names[:-length], names[length:])
@@ -67,11 +75,12 @@ def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """text, gram, context, lo and hi (first and last window, from the text's start) of the runs of
-    windows that share an anchor."""
+    """text, gram, context, lo and hi (first and last window, from the text's start), and shift (from
+    lo to the anchor) of the runs of windows that share an anchor."""
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
-        return {"text": none, "gram": none.astype(np.uint64), "context": none.astype(np.uint64), "lo": none, "hi": none}
+        return {"text": none, "gram": none.astype(np.uint64), "context": none.astype(np.uint64), "lo": none,
+                "hi": none, "shift": none}
     grams, wholes = doubled(data, GRAM, LENGTH)
     anchor = leftmost_minima(grams, LENGTH - GRAM + 1)
     ends = offsets[1:]
@@ -87,7 +96,8 @@ def anchor_rows(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     shape = ((a - lo) * 1000 + (hi - lo)).astype(np.uint64)
     context = paired(paired(wholes[lo], wholes[hi]), mixed(shape))
     start = offsets[text[lo]]
-    return {"text": text[lo], "gram": grams[a], "context": context, "lo": lo - start, "hi": hi - start}
+    return {"text": text[lo], "gram": grams[a], "context": context, "lo": lo - start, "hi": hi - start,
+            "shift": a - lo}
 
 
 def settled(names: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +116,20 @@ def settled(names: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarra
     return by, rank > head[group]
 
 
+def dealt(name: np.ndarray, first: np.ndarray, own: np.ndarray, repeat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """part and state of rows in the order of their names. Rows marked `first` count: two of a name
+    are witness enough that it has several, and any more are dealt out by `own`; repeats anywhere."""
+    if not len(name):
+        return name, np.zeros(0, np.int8)
+    new = np.append(True, name[1:] != name[:-1])
+    seen = np.cumsum(first)
+    base = np.zeros(len(name), np.int64)
+    base[new] = seen[new] - first[new]
+    state = np.where(repeat, 2, np.where(seen - np.maximum.accumulate(base) > 2, 1, 0)).astype(np.int8)
+    spread = mixed(own + np.arange(len(own), dtype=np.uint64))
+    return np.where(state == 2, spread, np.where(state == 1, own, name)), state
+
+
 def anchors(docs: DataFrame) -> DataFrame:
     def scan(batches):
         for batch in batches:
@@ -113,80 +137,120 @@ def anchors(docs: DataFrame) -> DataFrame:
                 rows = anchor_rows(*text_bytes(part.column("text")))
                 k = part.column("k").to_numpy()[rows["text"]]
                 th = part.column("th").to_numpy()[rows["text"]]
-                gram, context, lo, hi = (rows[n] for n in ("gram", "context", "lo", "hi"))
-                by, repeat = settled([gram, context], [k, th, lo])
-                gram, context, lo, hi, k, th = (x[by] for x in (gram, context, lo, hi, k, th))
-                own = mixed(gram + context)
-                spread = mixed(own + np.arange(len(own), dtype=np.uint64))
-                # the first two contexts of an anchor are witness enough that it has several
-                first = ~repeat & np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))[: len(own)]
-                new = np.append(True, gram[1:] != gram[:-1])[: len(own)]
-                seen = np.cumsum(first)
-                base = np.zeros(len(own), np.int64)
-                base[new] = seen[new] - 1
-                nth = seen - np.maximum.accumulate(base)
-                state = np.where(repeat, 2, np.where(nth > 2, 1, 0)).astype(np.int8)
-                deal = np.where(state == 2, spread, np.where(state == 1, own, gram))
+                by, repeat = settled([rows["gram"], rows["context"]], [k, th, rows["lo"]])
+                gram, context, lo, hi, shift = (rows[n][by] for n in ("gram", "context", "lo", "hi", "shift"))
+                new = np.append(True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]))[: len(by)]
+                deal, state = dealt(gram, new & ~repeat, mixed(gram + context), repeat)
                 yield pa.RecordBatch.from_pydict({
-                    "part": deal.view(np.int64), "gram": gram.view(np.int64), "context": context.view(np.int64),
-                    "k": k, "th": th, "lo": lo, "hi": hi, "state": state})
+                    "part": deal.view(np.int64), "context": context.view(np.int64), "k": k[by], "th": th[by],
+                    "lo": lo, "hi": hi, "shift": shift, "state": state})
 
     return docs.select("k", "th", "text").mapInArrow(scan, ANCHORS)
 
 
 def ranked_anchors(docs: DataFrame) -> DataFrame:
     """Rows that are repeats (state 2), and firsts of several contexts of an anchor (state 1)."""
-    rows = anchors(docs)
-    place = Window.partitionBy("part", "gram", "context").orderBy("k", "th", "lo")
-    whole = Window.partitionBy("part", "gram")
-    ranked = rows.repartition("part").withColumn("rank", F.rank().over(place)).withColumn(
+    place = Window.partitionBy("part", "context").orderBy("k", "th", "lo")
+    whole = Window.partitionBy("part")
+    ranked = anchors(docs).repartition("part").withColumn("rank", F.rank().over(place)).withColumn(
         "several", F.min("context").over(whole) != F.max("context").over(whole))
     state = F.when((F.col("state") == 2) | (F.col("rank") > 1), 2).when((F.col("state") == 1) | F.col("several"), 1)
-    return ranked.select("gram", "k", "th", "lo", "hi", state.alias("state")).filter("state is not null")
+    return ranked.select("k", "th", "lo", "hi", "shift", state.cast("tinyint").alias("state")).filter("state is not null")
+
+
+def with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """k, th, text, and the rows of the document as `runs`. A document's rows are bounded by its
+    length."""
+    columns = [c for c in rows.columns if c not in ("k", "th")]
+    runs = rows.groupBy("k", "th").agg(F.collect_list(F.struct(*columns)).alias("runs"))
+    return docs.select("k", "th", "text").join(runs, ["k", "th"])
+
+
+class Runs:
+    """The runs of a batch: where they lie, and their documents' keys."""
+
+    def __init__(self, part: pa.RecordBatch) -> None:
+        self.data, offsets = text_bytes(part.column("text"))
+        runs = part.column("runs")
+        sizes = pa.compute.list_value_length(runs).to_numpy()
+        self.flat = runs.flatten()
+        text = np.repeat(np.arange(part.num_rows), sizes)
+        self.start = offsets[text]
+        self.k = part.column("k").to_numpy()[text]
+        self.th = part.column("th").to_numpy()[text]
+
+    def column(self, name: str) -> np.ndarray:
+        return self.flat.field(name).to_numpy()
+
+    def bytes_of(self, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of many ranges one after another, and where each of them begins there."""
+        at = np.cumsum(size) - size
+        return self.data[np.arange(int(size.sum())) - np.repeat(at, size) + np.repeat(begin, size)], at
+
+
+def bins(firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The bins of the rows' windows, by how far the anchor is from a window's start: a bin's windows
+    share the LENGTH + 1 - STEP bytes from its nearest window's start on."""
+
+    def scan(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", BLOCK_BYTES):
+                runs = Runs(part)
+                lo, hi = runs.column("lo"), runs.column("hi")
+                anchor = lo + runs.column("shift")
+                low, high = (anchor - hi) // STEP, (anchor - lo) // STEP
+                n = high - low + 1
+                run = np.repeat(np.arange(len(n)), n)
+                number = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n) + low[run]
+                shared = anchor[run] - number * STEP  # the start all windows of the bin reach
+                size = np.full(len(run), LENGTH + 1 - STEP)
+                raw, at = runs.bytes_of(runs.start[run] + shared, size)
+                name = doubled(raw, LENGTH + 1 - STEP)[0][at] if len(run) else np.zeros(0, np.uint64)
+                name = mixed(name + number.astype(np.uint64))
+                by = np.argsort(name, kind="stable")
+                run, name, shared = run[by], name[by], shared[by]
+                every = np.ones(len(by), bool)
+                own = mixed(name + np.arange(len(by), dtype=np.uint64))
+                deal, state = dealt(name, every, own, ~every)
+                yield pa.RecordBatch.from_pydict({
+                    "part": deal.view(np.int64), "k": runs.k[run], "th": runs.th[run],
+                    "lo": np.maximum(lo[run], shared - STEP + 1), "hi": np.minimum(hi[run], shared), "state": state})
+
+    return with_texts(firsts, docs).mapInArrow(scan, BINS)
+
+
+def repeated_bins(firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    counted = bins(firsts, docs).repartition("part").withColumn("n", F.count("*").over(Window.partitionBy("part")))
+    return counted.filter("n > 1 or state = 1").select("k", "th", "lo", "hi")
 
 
-def window_rows(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The single windows of the rows, with their names of LENGTH bytes."""
-    wanted = firsts.groupBy("k", "th").agg(F.collect_list(F.struct("gram", "lo", "hi")).alias("runs"))
+def window_rows(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The single windows of the rows, with two names of LENGTH bytes."""
 
     def scan(batches):
         for batch in batches:
             for part in pieces(batch, "text", BLOCK_BYTES):
-                data, offsets = text_bytes(part.column("text"))
-                runs = part.column("runs")
-                sizes = pa.compute.list_value_length(runs).to_numpy()
-                flat = runs.flatten()
-                gram, lo, hi = (flat.field(n).to_numpy() for n in ("gram", "lo", "hi"))
-                text = np.repeat(np.arange(part.num_rows), sizes)
+                runs = Runs(part)
+                lo, hi = runs.column("lo"), runs.column("hi")
                 n = hi - lo + 1
                 run = np.repeat(np.arange(len(n)), n)
-                at = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n) + lo[run]
-                # the bytes of all runs one after another, and the names in them
-                size = n + LENGTH - 1
-                begin = np.cumsum(size) - size
-                byte = np.arange(int(size.sum())) - np.repeat(begin, size) + np.repeat(offsets[text] + lo, size)
-                names = doubled(data[byte], LENGTH)[0] if len(byte) else np.zeros(0, np.uint64)
-                name = names[begin[run] + at - lo[run]]
-                k = part.column("k").to_numpy()[text][run]
-                th = part.column("th").to_numpy()[text][run]
-                gram = gram.view(np.uint64)[run]
-                by, repeat = settled([gram, name], [k, th, at])
-                gram, name, k, th, at = (x[by] for x in (gram, name, k, th, at))
-                own = mixed(gram + name)
-                spread = mixed(own + np.arange(len(own), dtype=np.uint64))
+                step = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+                raw, at = runs.bytes_of(runs.start + lo, n + LENGTH - 1)
+                names = [doubled(raw, LENGTH, seed=x)[0][at[run] + step] if len(run) else np.zeros(0, np.uint64) for x in SEEDS]
+                k, th, first = runs.k[run], runs.th[run], lo[run] + step
+                by, repeat = settled(names, [k, th, first])
+                name, other = names[0][by], names[1][by]
+                deal = np.where(repeat, mixed(name + np.arange(len(by), dtype=np.uint64)), name)
                 yield pa.RecordBatch.from_pydict({
-                    "part": np.where(repeat, spread, own).view(np.int64), "gram": gram.view(np.int64),
-                    "name": name.view(np.int64), "k": k, "th": th, "at": at,
-                    "state": np.where(repeat, 2, 0).astype(np.int8)})
+                    "part": deal.view(np.int64), "name": other.view(np.int64), "k": k[by], "th": th[by],
+                    "at": first[by], "state": np.where(repeat, 2, 0).astype(np.int8)})
 
-    rows = docs.select("k", "th", "text").join(wanted, ["k", "th"])
-    return rows.mapInArrow(scan, WINDOWS)
+    return with_texts(rows, docs).mapInArrow(scan, WINDOWS)
 
 
-def repeated_windows(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    rows = window_rows(firsts, docs)
-    place = Window.partitionBy("part", "gram", "name").orderBy("k", "th", "at")
-    ranked = rows.repartition("part").withColumn("rank", F.rank().over(place))
+def repeated_windows(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    place = Window.partitionBy("part", "name").orderBy("k", "th", "at")
+    ranked = window_rows(rows, docs).repartition("part").withColumn("rank", F.rank().over(place))
     return ranked.filter("state = 2 or rank > 1").select("k", "th", F.col("at").alias("lo"), F.col("at").alias("hi"))
 
 
@@ -203,10 +267,11 @@ def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def with_repeats(docs: DataFrame) -> DataFrame:
     """`docs` (k, th, text and others) with `runs`: the ranges of windows that repeat, or null.
 
-    The texts are dealt out once, by key; the windows and the result read the same shuffle."""
+    The texts are dealt out once, by key; bins, windows and the result read the same shuffle."""
     ranked = stored(ranked_anchors(docs), "anchors")
     repeats = ranked.filter("state = 2").select("k", "th", "lo", "hi")
-    singles = repeated_windows(ranked.filter("state = 1"), docs)
+    firsts = ranked.filter("state = 1").select("k", "th", "lo", "hi", "shift")
+    singles = repeated_windows(repeated_bins(firsts, docs), docs)
     runs = repeats.union(singles).groupBy("k", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     return docs.join(runs, ["k", "th"], "left")
 
