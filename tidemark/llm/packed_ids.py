@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import encoded_blocks
+from tidemark.llm.blocks import WordNumbers, encoded_blocks
 from tidemark.llm.common import stored, whole_text
 from tidemark.llm.files import new_file, open_file
 from tidemark.session import scratch_path
@@ -37,8 +37,8 @@ HEADER = struct.Struct("<8sII")
 TRAILER = struct.Struct("<QQQQQ8s")
 BLOCK = 1 << 16
 CALL_WORDS, CALLS = 100, 200  # words of a text given to the library, and texts of a call
-BLOCK_WORDS = 200_000
-BLOCK_PIECES = 2_000_000
+BLOCK_WORDS = 500_000
+BLOCK_PIECES = 5_000_000
 
 MANIFEST = "part int, path string, documents bigint, tokens bigint"
 
@@ -165,7 +165,7 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.replace("\n", " ").split(" ") if w]
 
 
-def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_stems(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words one after another, and the n + 1 offsets. Words go to the library many at a
     time, with a special token between them: the library cuts there before anything else. The few
     words that hold a special token's text themselves go alone."""
@@ -196,6 +196,28 @@ def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     return out, ends
 
 
+def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As `encode_stems`, with a full stop or comma after a letter or number taken off first: it is a
+    token of its own there, and many words differ in it alone."""
+    marks = {m: encode_stems([m], path)[0] for m in ".,"}
+    stems, tails = WordNumbers(), np.full(len(words), -1, np.int64)
+    at = np.zeros(len(words), np.int64)
+    for i, w in enumerate(words):
+        if w[-1] in marks and len(w) > 1 and w[-2].isalnum() and len(marks[w[-1]]) == 1:
+            at[i], tails[i] = stems[w[:-1]], marks[w[-1]][0]
+        else:
+            at[i] = stems[w]
+    ids, ends = encode_stems(list(stems), path)
+    size = np.diff(ends)[at]
+    stop = np.cumsum(size + (tails >= 0))
+    start = np.append(0, stop[:-1]).astype(np.int64)
+    out = np.zeros(int(stop[-1]) if len(stop) else 0, np.uint32)
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(start, size) + place] = ids[np.repeat(ends[at], size) + place]
+    out[stop[tails >= 0] - 1] = tails[tails >= 0]
+    return out, np.append(0, stop)
+
+
 def encoded(texts: Iterable[str], path: str) -> Iterator[np.ndarray]:
     """The ids of each text, in turn; the library encodes every word of a block once."""
     return encoded_blocks(texts, words_of, lambda words: encode_words(words, path), BLOCK_WORDS, BLOCK_PIECES)
