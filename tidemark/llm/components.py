@@ -23,7 +23,6 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = large.distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         edges = stored(small.union(low.select("hi", "m")).distinct(), "edges")

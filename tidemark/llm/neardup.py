@@ -30,7 +30,7 @@ BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 RARE = 1024
 DRAWS = 1 << 14  # pre-drawn rows of (r, b, ln c); a shingle's hash picks its row
-SMALL_BUCKET = 64
+TINY_BUCKET, SMALL_BUCKET = 8, 64
 BLOCK_BYTES = 2_000_000
 CHUNK = 4096
 
@@ -187,54 +187,52 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def representative_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Each member with its bucket's representative, the one of the least hash under this seed."""
-    order = F.xxhash64("n", "band", F.lit(seed))
-    reps = members.groupBy("band", "key").agg(F.min_by("n", order).alias("rep"), F.min_by("root", order).alias("rep_root"))
-    pairs = members.join(reps, ["band", "key"]).filter("root <> rep_root")
-    return ordered(pairs.select(F.col("n").alias("a"), F.col("rep").alias("b")))
+def representative_pairs(members: DataFrame, seeds: tuple[int, ...]) -> DataFrame:
+    """Each member with its bucket's representatives: for every seed the one of the least hash."""
+    orders = [F.xxhash64("n", "band", F.lit(seed)) for seed in seeds]
+    rep = F.struct("n", "root")
+    reps = members.groupBy("band", "key").agg(F.array(*[F.min_by(rep, o) for o in orders]).alias("reps"))
+    pairs = members.join(reps, ["band", "key"]).select("n", "root", F.explode("reps").alias("rep"))
+    pairs = pairs.filter("root <> rep.root")
+    return pairs.select(F.col("n").alias("a"), F.col("rep.n").alias("b"))
 
 
-def small_bucket_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of different components in buckets of SMALL_BUCKET members or fewer."""
-    small = members.filter(F.col("members") <= SMALL_BUCKET).select("band", "key", "n", "root")
+def small_bucket_pairs(members: DataFrame, most: int) -> DataFrame:
+    """All pairs of different components in buckets of `most` members or fewer."""
+    small = members.filter(F.col("members") <= most).select("band", "key", "n", "root")
     other = small.select("band", "key", F.col("n").alias("b"), F.col("root").alias("other"))
     pairs = small.join(other, ["band", "key"]).filter("n < b and root <> other")
-    return ordered(pairs.select(F.col("n").alias("a"), "b"))
+    return pairs.select(F.col("n").alias("a"), "b")
 
 
-def rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that more than one component is left in."""
-    rows = members.select("band", "key", "n")
-    if roots is None:
-        rows = rows.withColumn("root", F.col("n"))
-    else:
-        rows = rows.join(roots.select(F.col("node").alias("n"), "root"), "n", "left")
-        rows = rows.withColumn("root", F.coalesce("root", "n"))
-    left = rows.groupBy("band", "key").agg(
-        F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-    return rows.join(left.filter("low <> high").drop("low", "high"), ["band", "key"])
-
-
-def near_links(members: DataFrame, vector: DataFrame) -> DataFrame:
-    """Links (a, b) whose components are those of all verified candidate pairs.
-
-    First every member against two representatives; then, between components, all pairs of small
-    buckets, and representatives of large ones until a round brings no link."""
-    spark = members.sparkSession
-    first = rooted(members, None)
-    pairs = stored(representative_pairs(first, 0).union(representative_pairs(first, 1)).distinct(), "pairs")
-    links = stored(verified(pairs, vector), "links")
-    tested, seed = pairs, 2
+    rows = members.select("band", "key", "n", "members").join(roots, "n", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "n"))
+    left = rows.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return rows.join(left.filter("low <> high").select("band", "key"), ["band", "key"])
+
+
+def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
+    """n and root: the components of the verified candidate pairs.
+
+    First every member against two representatives, and all pairs of the smallest buckets. Then,
+    between the components found, all pairs of small buckets, and representatives of large ones
+    until a round brings no link."""
+    first = members.withColumn("root", F.col("n"))
+    pairs = representative_pairs(first, (0, 1)).union(small_bucket_pairs(first, TINY_BUCKET))
+    tested = stored(ordered(pairs), "pairs")
+    links, seed = stored(verified(tested, vector), "links"), 2
     while True:
-        rest = stored(rooted(members, components(links)), "rest")
-        pairs = representative_pairs(rest.filter(F.col("members") > SMALL_BUCKET), seed)
+        roots = components(links).withColumnRenamed("node", "n")
+        rest = stored(rooted(members, roots), "rest")
+        pairs = representative_pairs(rest.filter(F.col("members") > SMALL_BUCKET), (seed,))
         if seed == 2:
-            pairs = pairs.union(small_bucket_pairs(rest)).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verified(pairs, vector), "links")
+            pairs = pairs.union(small_bucket_pairs(rest, SMALL_BUCKET))
+        pairs = stored(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
         if not found.take(1):
-            return links
+            return roots
         tested, links, seed = tested.union(pairs), links.union(found), seed + 1
 
 
@@ -247,11 +245,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = marks.groupBy("tk").agg(F.min("k").alias("k"), F.first("bands").alias("bands"))
     texts = stored(texts.withColumn("n", F.monotonically_increasing_id()), "texts")
     buckets = texts.select("n", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("band", "key").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).filter("members > 1")
     members = stored(buckets.join(shared, ["band", "key"]), "buckets")
     wanted = texts.select("n", "k", "tk").join(members.select("n").distinct(), "n")
     vector = stored(vectors(docs, wanted, known), "vectors")
-    roots = components(near_links(members, vector)).withColumnRenamed("node", "n")
+    roots = near_roots(members, vector)
     classes = texts.select("n", "k", "tk").join(roots, "n", "left").withColumn("root", F.coalesce("root", "n"))
     lows = classes.groupBy("root").agg(F.min("k").alias("low"))
     named = classes.join(lows, "root").select("tk", "low")
