@@ -5,19 +5,47 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, query
+from catalogue.shape import CTES
 from tidemark import contract as c
 from tidemark.functions import labels, records, text, times
 from tidemark.operators.filters import hour_ranges_filter
 from tidemark.operators.ranking import hour_islands
 from tidemark.sources.envelopes import collection_mix
-from tidemark.sources.topics import before_end
+from tidemark.sources.topics import within_offsets
 
 
 def joined(column):
     return F.array_join(F.array_sort(column), "|")
 
 
-DUCK_FEATURES = "coalesce(json_extract(record::JSON, '$.facets[*].features[*]'), [])"
+def pieces(source: str) -> str:
+    """SQL: seq, kind (tag, did or lang), value and place of every element of the lists of the
+    records `j` of a table. Facets are taken apart element by element."""
+    return f"""WITH facets AS (SELECT seq, unnest(CAST(j -> '$.facets' AS JSON[])) AS facet FROM {source}
+            WHERE json_type(j -> '$.facets') = 'ARRAY'),
+        features AS (SELECT seq, unnest(CAST(facet -> '$.features' AS JSON[])) AS feature FROM facets
+            WHERE json_type(facet -> '$.features') = 'ARRAY')
+    SELECT seq, 'feature' AS kind, feature ->> '$."$type"' AS value, 0 AS place FROM features
+    UNION ALL SELECT seq, 'tag', lower(feature ->> '$.tag'), 0 FROM features
+        WHERE feature ->> '$."$type"' = '{c.FACET_TAG}' AND feature ->> '$.tag' IS NOT NULL
+    UNION ALL SELECT seq, 'did', feature ->> '$.did', 0 FROM features
+        WHERE feature ->> '$."$type"' = '{c.FACET_MENTION}' AND feature ->> '$.did' IS NOT NULL
+    UNION ALL SELECT seq, 'tag', lower(tag ->> '$'), 0 FROM (
+        SELECT seq, unnest(CAST(j -> '$.tags' AS JSON[])) AS tag FROM {source}
+        WHERE json_type(j -> '$.tags') = 'ARRAY')
+    UNION ALL SELECT seq, 'lang', lang ->> '$', place FROM (
+        SELECT seq, unnest(CAST(j -> '$.langs' AS JSON[])) AS lang,
+            generate_subscripts(CAST(j -> '$.langs' AS JSON[]), 1) AS place FROM {source}
+        WHERE json_type(j -> '$.langs') = 'ARRAY')"""
+
+
+# Records one by one (`row` tells copies of an event apart) and their lists, gathered again
+CTES["records"] = (
+    "bronze",
+    """SELECT row_number() OVER (ORDER BY seq, processed_at) AS seq, seq AS event, record::JSON AS j
+    FROM bronze WHERE record IS NOT NULL""",
+)
+CTES["record_lists"] = ("records", pieces("records"))
 
 
 @query(
@@ -44,9 +72,12 @@ def json_path(t: Tables):
 
 @query(
     "json_array",
-    """SELECT seq, coalesce(len(langs), -1) AS n, array_to_string(list_sort(langs), '|') AS langs FROM (
-        SELECT seq, CASE WHEN json_type(record::JSON, '$.langs') = 'ARRAY'
-            THEN from_json(record::JSON -> '$.langs', '["VARCHAR"]') END AS langs FROM bronze)""",
+    """SELECT b.seq, CAST(CASE WHEN json_type(b.record::JSON -> '$.langs') = 'ARRAY'
+            THEN json_array_length(b.record::JSON -> '$.langs') ELSE -1 END AS INTEGER) AS n,
+        (SELECT CASE WHEN json_type(b.record::JSON -> '$.langs') = 'ARRAY'
+            THEN ifnull(string_agg(x, '|' ORDER BY x), '') END
+         FROM (SELECT unnest(json_extract_string(b.record::JSON, '$.langs[*]')) AS x)) AS langs
+    FROM bronze AS b""",
     "bronze",
 )
 def json_array(t: Tables):
@@ -57,10 +88,10 @@ def json_array(t: Tables):
 
 @query(
     "facet_features",
-    f"""SELECT seq, len({DUCK_FEATURES}) AS features,
-        len([f FOR f IN {DUCK_FEATURES} IF f ->> '$."$type"' = '{c.FACET_TAG}']) AS tags
-    FROM bronze WHERE record IS NOT NULL""",
-    "bronze",
+    f"""SELECT r.event AS seq, count(value) FILTER (WHERE kind = 'feature') AS features,
+        count(value) FILTER (WHERE kind = 'feature' AND value = '{c.FACET_TAG}') AS tags
+    FROM records AS r LEFT JOIN record_lists AS l ON l.seq = r.seq GROUP BY r.seq, r.event""",
+    "record_lists",
 )
 def facet_features(t: Tables):
     features = records.facet_features(F.col("record"))
@@ -71,18 +102,11 @@ def facet_features(t: Tables):
     )
 
 
-DUCK_TAGS = f"""list_distinct(list_concat(
-    [lower(f ->> '$.tag') FOR f IN {DUCK_FEATURES} IF f ->> '$."$type"' = '{c.FACET_TAG}'],
-    [lower(t) FOR t IN coalesce(json_extract_string(record::JSON, '$.tags[*]'), [])]))"""
-DUCK_MENTIONS = f"""[f ->> '$.did' FOR f IN {DUCK_FEATURES}
-    IF f ->> '$."$type"' = '{c.FACET_MENTION}']"""
-
-
 @query(
     "hashtags",
-    f"""SELECT seq, array_to_string(list_sort({DUCK_TAGS}), '|') AS hashtags
-    FROM bronze WHERE record IS NOT NULL""",
-    "bronze",
+    """SELECT r.event AS seq, ifnull(string_agg(DISTINCT value, '|' ORDER BY value), '') AS hashtags
+    FROM records AS r LEFT JOIN record_lists AS l ON l.seq = r.seq AND kind = 'tag' GROUP BY r.seq, r.event""",
+    "record_lists",
 )
 def hashtags(t: Tables):
     tags = records.hashtags(F.col("record"))
@@ -91,9 +115,9 @@ def hashtags(t: Tables):
 
 @query(
     "mentions",
-    f"""SELECT seq, array_to_string(list_sort({DUCK_MENTIONS}), '|') AS mentions
-    FROM bronze WHERE record IS NOT NULL""",
-    "bronze",
+    """SELECT r.event AS seq, ifnull(string_agg(value, '|' ORDER BY value), '') AS mentions
+    FROM records AS r LEFT JOIN record_lists AS l ON l.seq = r.seq AND kind = 'did' GROUP BY r.seq, r.event""",
+    "record_lists",
 )
 def mentions(t: Tables):
     found = records.mentions(F.col("record"))
@@ -214,13 +238,11 @@ def rate_bucket(t: Tables):
     "bronze calendar",
 )
 def regime(t: Tables):
-    from tidemark.operators.joins import checked_broadcast
-
     windows = t.bronze.groupBy(
         F.to_date("event_time").alias("day"),
         times.epoch_window(F.col("event_time")).alias("window_epoch"),
     ).agg(F.count(F.lit(1)).alias("events"))
-    days = checked_broadcast(t.calendar.select("day", "caught_up_at"))
+    days = t.calendar.select("day", "caught_up_at")
     label = labels.regime(F.col("window_epoch"), F.col("caught_up_at"))
     return windows.join(days, "day").select("window_epoch", label.alias("regime"), "events")
 
@@ -289,7 +311,7 @@ def offset_bounds(t: Tables):
     )
     end = {row["kafka_partition"]: row["end"] for row in ends.collect()}
     end.pop(2, None)
-    inside = before_end(end, "kafka_partition", "kafka_offset")
+    inside = within_offsets(None, end, "kafka_partition", "kafka_offset")
     return t.bronze.where(inside).select("seq", "kafka_partition", "kafka_offset")
 
 

@@ -22,10 +22,17 @@ from tidemark.sources import tables, topics
 from tidemark.sources.envelopes import bronze_parse as parse
 from tidemark.streaming.bronze import BronzeWriter, start_bronze
 
-TIMES = "seq, operation, event_time, processed_at"
+BRONZE = ", ".join(c.BRONZE_COLUMNS)
+# The record's one escaped character, as the SQL side spells it
+DUCK_BRONZE = BRONZE.replace("kafka_partition", "kafka_partition::BIGINT AS kafka_partition")
 COMMITS = 8
 
 
+def spelled(rows: DataFrame, *more: str) -> DataFrame:
+    """Every Bronze column, with the record spelled as the SQL side does."""
+    return rows.withColumn("record", plain_record()).select(*c.BRONZE_COLUMNS, *more)
+
+
 def bronze_table(t: Tables, name: str) -> tables.CommitTable:
     path = scratch_path(t.spark, name)
     return tables.CommitTable(t.spark, path, c.BRONZE_SCHEMA, cluster_by=["collection"])
@@ -100,7 +107,7 @@ def kafka_source(t: Tables):
 
 @query(
     "bronze_append",
-    f"SELECT {TIMES}, kafka_offset FROM messages WHERE usable",
+    f"SELECT {DUCK_BRONZE} FROM messages WHERE usable",
     "messages",
 )
 def bronze_append(t: Tables):
@@ -116,7 +123,7 @@ def bronze_append(t: Tables):
         start_bronze(stream, writer, checkpoint, {"availableNow": True}).awaitTermination()
         if attempt == 0:
             forget_last_batch(t.spark, checkpoint)
-    return table.read().select(*TIMES.split(", "), "kafka_offset")
+    return spelled(table.read())
 
 
 def forget_last_batch(spark, checkpoint: str) -> None:
@@ -145,18 +152,18 @@ def day_partitioned_table(t: Tables):
     )
 
 
-@query("scan_asof", f"SELECT {TIMES}, commit_id FROM bronze WHERE commit_id <= 4", "bronze")
+@query("scan_asof", f"SELECT {DUCK_BRONZE}, commit_id FROM bronze WHERE commit_id <= 4", "bronze")
 def scan_asof(t: Tables):
-    return stored(t, "asof").as_of(4).select(*TIMES.split(", "), "commit_id")
+    return spelled(stored(t, "asof").as_of(4), "commit_id")
 
 
 @query(
     "scan_appended",
-    f"SELECT {TIMES}, commit_id FROM bronze WHERE commit_id > 2 AND commit_id <= 5",
+    f"SELECT {DUCK_BRONZE}, commit_id FROM bronze WHERE commit_id > 2 AND commit_id <= 5",
     "bronze",
 )
 def scan_appended(t: Tables):
-    return stored(t, "appended").appended(2, 5).select(*TIMES.split(", "), "commit_id")
+    return spelled(stored(t, "appended").appended(2, 5), "commit_id")
 
 
 @query("append_sink", "SELECT * FROM silver_likes", "silver_likes")
@@ -164,7 +171,7 @@ def append_sink(t: Tables):
     """Silver likes appended in two batches, the second without what the first brought."""
     path = scratch_path(t.spark, "likes")
     table = tables.CommitTable(t.spark, path, SILVER_SCHEMAS["silver_likes"], rebalance=True)
-    typed = SILVER["silver_likes"](t.bronze.withColumn("late", F.col("commit_id") > 4))
+    typed = SILVER["silver_likes"](t.bronze)
     early = SILVER["silver_likes"](t.bronze.where("commit_id <= 4"))
     table.append(dedup_batch(early), 1)
     rest = inc.not_yet_in(dedup_batch(typed), table.as_of(1), bounds=tables.time_bounds(typed))
@@ -205,8 +212,8 @@ SLICE_MINUTES = 7 * 24 * 60
 
 @query(
     "freeze_slice",
-    """SELECT kafka_partition::BIGINT AS partition, kafka_offset AS "offset", processed_at AS "timestamp"
-    FROM bronze WHERE processed_at >= TIMESTAMP '2024-01-10'
+    """SELECT kafka_partition::BIGINT AS partition, kafka_offset AS "offset", processed_at AS "timestamp",
+        seq, usable FROM messages WHERE processed_at >= TIMESTAMP '2024-01-10'
         AND processed_at < TIMESTAMP '2024-01-17'""",
     "bronze",
 )
@@ -217,9 +224,21 @@ def freeze_slice(t: Tables):
     return frozen.drop("value")
 
 
-@query("table_file_stats")
+@query(
+    "table_file_stats",
+    "SELECT count(DISTINCT commit_id) AS commits, true AS all_files, true AS all_bytes FROM bronze",
+    "bronze",
+)
 def table_file_stats(t: Tables):
-    return tables.file_stats(stored(t, "files").read())
+    """Commits counted, and files and bytes against a listing of the folder."""
+    table = stored(t, "files")
+    objects = maintenance.list_objects(t.spark, table.path).where("key LIKE '%.parquet'")
+    listed = objects.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    return tables.file_stats(table).select(
+        "commits",
+        (F.col("files") == listed.select("n").scalar()).alias("all_files"),
+        (F.col("bytes") == listed.select("size").scalar()).alias("all_bytes"),
+    )
 
 
 # --- Incremental control ---
@@ -402,11 +421,7 @@ def _half_way(t: Tables, models, max_hours) -> inc.Pipeline:
     "bronze",
 )
 def backlog(t: Tables):
-    found = _half_way(t, ["gold_langs_hour", "gold_hashtags_hour"], 6).backlog()
-    return t.spark.range(1).select(
-        F.lit(found.silver_rows).cast("bigint").alias("silver_rows"),
-        F.lit(found.gold_hours).cast("bigint").alias("gold_hours"),
-    )
+    return _half_way(t, ["gold_langs_hour", "gold_hashtags_hour"], 6).backlog().select("silver_rows", "gold_hours")
 
 
 @query(
@@ -436,13 +451,13 @@ def rebuild_hours(t: Tables):
 
 @query(
     "retention_delete",
-    f"SELECT {TIMES}, commit_id FROM bronze WHERE event_time >= TIMESTAMP '2024-01-13'",
+    f"SELECT {DUCK_BRONZE}, commit_id FROM bronze WHERE event_time >= TIMESTAMP '2024-01-13'",
     "bronze",
 )
 def retention_delete(t: Tables):
     table = stored(t, "retention")
     maintenance.drop_expired_days(table, datetime(2024, 1, 20, 12, 30), 7)
-    return table.read().select(*TIMES.split(", "), "commit_id")
+    return spelled(table.read(), "commit_id")
 
 
 @query(
@@ -509,22 +524,17 @@ def stale_readers(t: Tables):
     )
 
 
-@query(
-    "compact_day",
-    """SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_day, count(*) AS n,
-        count(*) FILTER (WHERE commit_id > 5) AS unread, CAST(sum(seq) AS BIGINT) AS checksum
-    FROM bronze GROUP BY 1""",
-    "bronze",
-)
+@query("compact_day", f"SELECT {DUCK_BRONZE}, commit_id FROM bronze", "bronze")
 def compact_day(t: Tables):
-    """Commits up to the fifth merged; a reader at the fifth sees the same rows after."""
+    """Commits up to the fifth merged and their folders dropped, then the fifth and the second
+    written again by a stream that crashed before: every row is there once."""
     table = stored(t, "compact")
     maintenance.compact_commits(table, 5)
-    return table.read().groupBy("event_day").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("commit_id") > 5).alias("unread"),
-        F.sum("seq").alias("checksum"),
-    )
+    maintenance.drop_merged(table)
+    for commit, rows in commits(t):
+        if commit in (2, 5):
+            table.append(rows, commit)
+    return spelled(table.read(), "commit_id")
 
 
 @query(

@@ -87,7 +87,7 @@ def test_passes_equal_a_full_recompute(spark, scratch, rows):
     pipeline.silver_pass()
     pipeline.gold_pass()
     assert_complete(pipeline, rows)
-    backlog = pipeline.backlog()
+    backlog = pipeline.backlog().first()
     assert backlog.silver_rows == 0 and backlog.gold_hours == 0
     assert pipeline.silver_pass() == 0 and pipeline.gold_pass() == 0
     silver = {n: t.read() for n, t in pipeline.silver.items()}
@@ -100,7 +100,7 @@ def test_passes_equal_a_full_recompute(spark, scratch, rows):
 def test_capped_passes_catch_up(spark, scratch, rows):
     pipeline = inc.Pipeline(spark, scratch("capped"), ["gold_hashtags_hour", "gold_langs_hour"])
     append(pipeline, rows, 1, 2, 3, 4, 5)
-    assert pipeline.backlog().silver_rows == rows.count()
+    assert pipeline.backlog().first().silver_rows == rows.count()
     passes = pipeline.catch_up(max_rows=200, max_hours=3)
     assert passes > 2
     assert_complete(pipeline, rows)
@@ -142,7 +142,7 @@ def test_a_failed_model_does_not_hold_back_the_others(spark, scratch, rows, monk
     with pytest.raises(RuntimeError, match="silver_likes"):
         pipeline.silver_pass()
     monkeypatch.setattr(pipeline, "_build_silver", real)
-    assert pipeline.backlog().positions == {
+    assert pipeline.backlog().first().positions == {
         "silver_posts": 1, "silver_likes": None, "silver_reposts": 1, "silver_deletes": 1
     }
     assert pipeline.silver_pass() == 1
@@ -151,7 +151,7 @@ def test_a_failed_model_does_not_hold_back_the_others(spark, scratch, rows, monk
 def test_a_pass_that_moves_nothing_is_reported(spark, scratch, rows, monkeypatch):
     pipeline = inc.Pipeline(spark, scratch("stuck"), ["gold_langs_hour"])
     append(pipeline, rows, 1)
-    monkeypatch.setattr(pipeline, "silver_pass", lambda max_rows=None: 0)
+    monkeypatch.setattr(pipeline, "silver_pass", lambda *_: 0)
     with pytest.raises(RuntimeError, match="moved nothing"):
         pipeline.catch_up()
 
@@ -213,9 +213,33 @@ def test_the_latest_done_position_wins(spark):
     assert inc.position_or_rows(progress, rows.where("false"), "other").first()[0] is None
 
 
-def test_progress_is_a_smaller_backlog_or_a_moved_position():
-    a = inc.Backlog(10, 2, {"m": 1})
-    assert inc.Backlog(9, 2, {"m": 1}).progressed_from(a)
-    assert inc.Backlog(10, 1, {"m": 1}).progressed_from(a)
-    assert inc.Backlog(12, 4, {"m": 2}).progressed_from(a)
-    assert not inc.Backlog(10, 2, {"m": 1}).progressed_from(a)
+def test_catch_up_ends_while_the_stream_goes_on(spark, scratch, rows, monkeypatch):
+    pipeline = inc.Pipeline(spark, scratch("live"), ["gold_langs_hour"])
+    append(pipeline, rows, 1, 2)
+    real, coming = pipeline.gold_pass, iter((3, 4, 5))
+
+    def gold_pass(*args):
+        # A commit arrives during every pass
+        append(pipeline, rows, *[n for n in (next(coming, None),) if n])
+        return real(*args)
+
+    monkeypatch.setattr(pipeline, "gold_pass", gold_pass)
+    pipeline.catch_up()
+    assert pipeline.bronze.current() == 3
+    assert set(pipeline.backlog().first().positions.values()) == {2}
+    monkeypatch.undo()
+    append(pipeline, rows, 4, 5)
+    pipeline.catch_up()
+    assert_complete(pipeline, rows)
+
+
+@pytest.mark.parametrize("scattered", [10, 1000])
+def test_rebuilt_hours_prune_days_at_any_number(spark, scratch, rows, scattered):
+    pipeline = inc.Pipeline(spark, scratch("prune"), ["gold_langs_hour"])
+    append(pipeline, rows, 1)
+    start = datetime(2020, 1, 1)
+    ranges = [(str(start + timedelta(hours=3 * n)), str(start + timedelta(hours=3 * n + 1))) for n in range(scattered)]
+    plan = inc.hour_ranges_filter(pipeline.bronze.read(), ranges)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") <= 1 and "Join" not in text
+    assert "event_day" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]

@@ -76,13 +76,6 @@ def test_not_in_uses_no_nested_loop_over_the_subquery(spark):
     assert text.count("strategy=broadcast") <= text.count("GlobalLimit 1")
 
 
-def test_a_side_is_broadcast_only_within_the_bound(spark):
-    small, large = spark.range(5), spark.range(100)
-    assert "broadcast" in joins.checked_broadcast(small, 10)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.checked_broadcast(large, 10)._jdf.queryExecution().toString()
-    assert joins.checked_broadcast(large, 10).count() == 100
-
-
 def test_offset_ranges(spark):
     rows = spark.createDataFrame([(0, 1), (0, 5), (1, 5), (2, 5)], "kafka_partition int, kafka_offset bigint")
     bounds = spark.createDataFrame(
@@ -91,6 +84,29 @@ def test_offset_ranges(spark):
     assert [tuple(r)[:2] for r in joins.join_offset_range(rows, bounds).collect()] == [(0, 5)]
 
 
+def test_offset_ranges_of_many_periods(spark, scratch, monkeypatch):
+    monkeypatch.setattr(joins, "OFFSETS_PER_SLOT", 16)
+    rng, pairs, periods = random.Random(2), [], []
+    for n in range(400):
+        pairs.append((rng.randrange(3), rng.randrange(300)))
+    for n in range(60):
+        start = rng.randrange(280)
+        periods.append((rng.randrange(3), start, start + rng.randrange(0, 50), n))
+    path = scratch("offsets")
+    spark.createDataFrame(pairs, "kafka_partition int, kafka_offset bigint").write.parquet(path)
+    bounds = spark.createDataFrame(periods, "kafka_partition int, start_offset bigint, end_offset bigint, period int")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    found = joins.join_offset_range(spark.read.parquet(path), bounds)
+    got = sorted((r["kafka_partition"], r["kafka_offset"], r["period"]) for r in found.collect())
+    assert got == sorted((p, o, n) for p, o in pairs for q, a, b, n in periods if p == q and a <= o < b)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [part.split("ReadSchema")[0] for part in text.split("PushedFilters: ")[1:]]
+    assert any("GreaterThanOrEqual(kafka_offset" in p and "LessThan(kafka_offset" in p for p in pushed)
+    dealt = [part.split("]")[0] for part in text.split("hashpartitioning(")[1:]]
+    assert all("_slot" in keys for keys in dealt if "kafka_partition" in keys)
+
+
 @pytest.mark.parametrize("chunk", [1, 7, 60, 100_000])
 def test_pairs_are_those_of_a_plain_lag(spark, chunk):
     rng = random.Random(chunk)

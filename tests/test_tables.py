@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -67,7 +68,7 @@ def test_ranges_of_commits_and_days_prune_partitions(table):
 
 
 def test_file_stats_count_files_not_rows(table):
-    stats = tables.file_stats(table.read()).first()
+    stats = tables.file_stats(table).first()
     assert stats["files"] == 5 and stats["commits"] == 3 and stats["bytes"] > 0
 
 
@@ -107,39 +108,98 @@ def test_time_column_is_the_first_present():
 
 def test_compaction_keeps_every_row_and_every_reader(table):
     before = seqs(table.read())
-    # Both days of the first two commits: one of them is in a single folder already
-    assert maintenance.compact_commits(table, 2) == 2
+    # The second of October is in two commits, the first in one: nothing to merge there
+    assert maintenance.compact_commits(table, 2) == 1
     assert seqs(table.read()) == before
     assert seqs(table.appended(2, 3)) == [4, 5]
+    assert seqs(table.as_of(1)) == [1, 2]
     assert maintenance.compact_commits(table, 2) == 0
-    stats = tables.file_stats(table.read()).first()
-    assert stats["files"] == 4
+    stats = tables.file_stats(table).first()
+    assert stats["files"] == 4 and stats["commits"] == 3
 
 
 def test_compaction_of_one_day(table):
-    assert maintenance.compact_commits(table, 3, "2026-10-01") == 2
+    assert maintenance.compact_commits(table, 3, "2026-10-01") == 1
     assert seqs(table.read()) == [1, 2, 3, 4, 5]
     assert maintenance.compact_commits(table, 3, "2026-10-03") == 0
 
 
-def test_a_compaction_that_stopped_half_way_is_finished(table, monkeypatch):
-    real = maintenance._delete
-    calls = []
+def test_commits_replayed_after_a_compaction_change_nothing(spark, table):
+    first = rows(spark, (1, "2026-10-01 10:00:00"), (2, "2026-10-02 10:00:00"))
+    last = rows(spark, (4, "2026-10-01 12:00:00"), (5, "2026-10-03 01:00:00"))
+    for clean in (False, True):
+        maintenance.compact_commits(table, 3)
+        if clean:
+            assert maintenance.drop_merged(table) > 0
+        table.append(first, 1)
+        table.append(last, 3)
+        assert seqs(table.read()) == [1, 2, 3, 4, 5]
+        assert seqs(table.appended(2, 3)) == [4, 5]
+    # Later commits are merged with the days that are merged already
+    table.append(rows(spark, (6, "2026-10-01 13:00:00")), 4)
+    assert maintenance.compact_commits(table, 4) == 1
+    maintenance.drop_merged(table)
+    table.append(first, 1)
+    assert seqs(table.read()) == [1, 2, 3, 4, 5, 6] and seqs(table.appended(3, 4)) == [6]
+
+
+def test_replaced_folders_go_with_their_empty_commits(spark, table):
+    maintenance.compact_commits(table, 3, "2026-10-02")
+    maintenance.drop_merged(table)
+    left = {p.rsplit("/", 1)[1] for p in tables.partition_folders(spark, table.path)}
+    assert left == {"commit_id=1", "commit_id=3"}
+    assert seqs(table.read()) == [1, 2, 3, 4, 5]
 
-    def crash(spark, path):
-        calls.append(path)
-        if len(calls) == 2:
-            raise RuntimeError("node lost")
-        real(spark, path)
 
-    monkeypatch.setattr(maintenance, "_delete", crash)
-    with pytest.raises(RuntimeError):
-        maintenance.compact_commits(table, 3)
-    monkeypatch.setattr(maintenance, "_delete", real)
-    maintenance.finish_compaction(table)
+def test_merged_days_prune_commits_and_days(table):
+    maintenance.compact_commits(table, 2)
+    plan = table.read().where("event_day = DATE '2026-10-02'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scans = [part.split("PushedFilters")[0] for part in text.split("PartitionFilters: ")[1:]]
+    assert len(scans) == 2 and "segment" in scans[1] and all("event_day" in s for s in scans)
+
+
+def test_a_compaction_that_stopped_half_way_changes_nothing(table, monkeypatch):
+    def crash(*_):
+        raise RuntimeError("node lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(maintenance.F, "explode", crash)
+        with pytest.raises(RuntimeError):
+            maintenance.compact_commits(table, 3)
+    assert seqs(table.read()) == [1, 2, 3, 4, 5] and not table.merges()
+    assert maintenance.compact_commits(table, 3) == 2
     assert seqs(table.read()) == [1, 2, 3, 4, 5]
 
 
+def test_a_day_rebuilt_to_nothing_is_empty(spark, scratch):
+    path = scratch("days")
+    frame = spark.sql("SELECT * FROM VALUES ('2026-10-01', 1), ('2026-10-02', 2), ('2026-10-03', 3) AS v (day, n)")
+    tables.replace_days(frame, path, "day", ["2026-10-01", "2026-10-02", "2026-10-03"])
+    tables.replace_days(frame.where("n = 2").withColumn("n", F.lit(9)), path, "day", ["2026-10-01", "2026-10-02"])
+    found = spark.read.parquet(path)
+    assert sorted(r["n"] for r in found.collect()) == [3, 9]
+
+
+def test_retention_of_hours(spark, scratch):
+    path = scratch("hours")
+    frame = spark.sql("SELECT TIMESTAMP '2026-10-01 23:00:00' + make_dt_interval(0, CAST(id AS INT)) AS hour, id FROM range(4)")
+    tables.replace_hours(frame, path)
+    assert maintenance.drop_expired_hours(spark, path, datetime(2026, 11, 1, 8), 30) == 1
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_naive_moments_are_utc_in_any_zone(spark, table, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        assert seqs(maintenance.kept_rows(table.read(), datetime(2026, 10, 2, 10))) == [2, 3, 5]
+        assert spark.range(1).select(tables.utc(datetime(2026, 1, 2)).cast("string")).first()[0] == "2026-01-02 00:00:00"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_positions_trimmed_but_for_the_last_done(spark):
     old, now = datetime(2026, 10, 1), datetime(2026, 10, 20)
     log = [

@@ -46,30 +46,33 @@ BRONZE_SCHEMA = schema(
     kafka_offset="bigint",
     processed_at="timestamp",
 )
+# The columns a message states in its payload under their own names
+PAYLOAD_COLUMNS = ("seq", "did", "collection", "operation", "rkey", "rev", "cid")
 BRONZE_COLUMNS = tuple(BRONZE_SCHEMA.fieldNames())
+# A message without one of these is dropped
 BRONZE_REQUIRED = ("seq", "did", "collection", "operation", "rkey", "event_time")
 
-# Columns that differ between two runs of the same pipeline by nature
+# Columns that differ between two runs of the same pipeline by nature
 LINEAGE_COLUMNS = ("bronze_snapshot_id", "silver_snapshot_id", "processed_at")
-# List columns whose order is not part of the contract
+# List columns whose order is not part of the contract
 UNORDERED_LISTS = ("hashtags", "mention_dids")
-# Retention is measured on the first of these that a table has
+# Retention is measured on the first of these that a table has
 TIME_COLUMNS = ("event_time", "minute", "hour")
 
+# Hashtags kept an hour, and the thresholds of benchmark windows
 TOP_HASHTAGS = 50
 
-# Benchmark windows
 WINDOW_SECONDS = 300
 MAX_SAMPLE_GAP_SECONDS = 30
 MIN_COVERAGE = 0.9
-RATE_BUCKETS = ((200, "0-200"), (500, "200-500"))
-RATE_BUCKET_ABOVE = "500+"
+# Messages a second below each bound; the last bucket has none
+RATE_BUCKETS = ((200, "0-200"), (500, "200-500"), (None, "500+"))
 HOST_STEAL_PCT_MAX = 5.0
 NEIGHBOUR_CORES_MAX = 0.5
-# Catalog database -> the branch it serves
+# Catalog database -> the branch it serves
 CATALOG_BRANCHES = {"ducklake_catalog": "duckdb", "iceberg_catalog": "spark"}
 
-# Alternation of the two branches
+# Alternation of the two branches
 ROTATION = ("duckdb", "spark")
 DAY_TIME_ZONE = "Europe/Paris"
 DAY_CLOSE_HOUR = 19

@@ -35,10 +35,8 @@ def silver_model(collection: Column, operation: Column) -> Column:
 def rate_bucket(messages: Column, seconds: int = c.WINDOW_SECONDS) -> Column:
     """Traffic level of a window in messages per second, upper bounds exclusive."""
     rate = messages / F.lit(float(seconds))
-    return first_match(
-        {label: rate < F.lit(float(upper)) for upper, label in c.RATE_BUCKETS},
-        c.RATE_BUCKET_ABOVE,
-    )
+    bounded = {label: rate < F.lit(float(upper)) for upper, label in c.RATE_BUCKETS if upper is not None}
+    return first_match(bounded, next(label for upper, label in c.RATE_BUCKETS if upper is None))
 
 
 def regime(window_epoch: Column, caught_up_at: Column) -> Column:

@@ -1,16 +1,25 @@
 """Filters by ranges of hours."""
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sets import union_all
 from tidemark.sources.tables import DAY
 
+HOUR = timedelta(hours=1)
 
-# Beyond this many ranges the plan would be longer than the scans are short
-MAX_SCANS = 16
+
+def listed_hours(ranges: Sequence[tuple[str, str]]) -> list[str]:
+    """Every hour of the [start, end) ranges, once."""
+    hours = set()
+    for start, end in ranges:
+        hour = datetime.fromisoformat(start)
+        while hour < datetime.fromisoformat(end):
+            hours.add(hour.isoformat(" "))
+            hour += HOUR
+    return sorted(hours)
 
 
 def hour_ranges_filter(
@@ -18,33 +27,30 @@ def hour_ranges_filter(
 ) -> DataFrame:
     """Rows whose time lies in one of the [start, end) ranges of whole hours, as values.
 
-    One bounded scan per range: each prunes days and row groups on its own, which an OR
-    of ranges does not. Many ranges become one scan between the outermost bounds, matched
-    by hour with the listed hours."""
-    if not ranges:
+    One scan for any number of ranges: the days they touch prune partitions, the outermost
+    bounds prune row groups, and the hour is looked up in a set. Hours grow with the time
+    covered and not with the rows."""
+    hours = listed_hours(ranges)
+    if not hours:
         return rows.where(F.lit(False))
-    if len(ranges) <= MAX_SCANS:
-        return union_all([_between(rows, start, end, ts) for start, end in ranges])
-    outer = _between(rows, min(r[0] for r in ranges), max(r[1] for r in ranges), ts)
-    listed = rows.sparkSession.createDataFrame(list(ranges), "s string, e string")
-    last = F.col("e").cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(1))
-    step = F.make_dt_interval(hours=F.lit(1))
-    hour = F.explode(F.sequence(F.col("s").cast("timestamp_ntz"), last, step))
-    # The ranges were given as values: their number is known
-    return in_hours(outer, F.broadcast(listed.select(hour.alias("hour"))), ts)
-
-
-def _between(rows: DataFrame, start: str, end: str, ts: str) -> DataFrame:
     kind = rows.schema[ts].dataType.simpleString()
-    lower, upper = F.lit(start).cast(kind), F.lit(end).cast(kind)
-    scan = rows.where((F.col(ts) >= lower) & (F.col(ts) < upper))
+    last = (datetime.fromisoformat(hours[-1]) + HOUR).isoformat(" ")
+    lower, upper = F.lit(hours[0]).cast(kind), F.lit(last).cast(kind)
+    hour = F.date_trunc("HOUR", F.col(ts)).cast(kind)
+    inside = (F.col(ts) >= lower) & (F.col(ts) < upper) & hour.isin([F.lit(h).cast(kind) for h in hours])
     if DAY in rows.columns:
-        scan = scan.where(F.col(DAY).between(F.to_date(lower), F.to_date(upper)))
-    return scan
+        days = sorted({h[:10] for h in hours})
+        inside = F.col(DAY).isin([F.lit(d).cast("date") for d in days]) & inside
+    return rows.where(inside)
 
 
 def in_hours(rows: DataFrame, hours: DataFrame, ts: str = "event_time") -> DataFrame:
-    """Rows of the hours in a table of distinct hours, for sets too large to list."""
+    """Rows of the hours in a table of distinct hours, by a join. Where the rows are split by day,
+    the join is on the day as well, so that Spark prunes days while it runs."""
     named = hours.select(F.col("hour").cast("timestamp").alias("_hour"))
+    keys = ["_hour"]
+    if DAY in rows.columns:
+        named = named.withColumn(DAY, F.to_date("_hour"))
+        keys.append(DAY)
     hour = F.date_trunc("HOUR", F.col(ts))
-    return rows.withColumn("_hour", hour).join(named, "_hour", "left_semi").drop("_hour")
+    return rows.withColumn("_hour", hour).join(named, keys, "left_semi").drop("_hour").select(*rows.columns)

@@ -1,29 +1,15 @@
 """Joins the pipeline needs beyond a plain `df.join`.
 
-Strategy is left to Catalyst and AQE. A side is hinted as broadcast only after its row
-count has been checked; beyond the bound the join falls back to a shuffle."""
+Strategy is left to Catalyst and AQE, which broadcast a side by its size in bytes; nothing here
+hints a broadcast of a table."""
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 50_000
-
-
-def checked_broadcast(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """`side` to be broadcast if it has at most `max_rows` rows, else as it is.
-
-    The check stops at the bound: a large side is never read whole, and joins by a
-    shuffle. The few rows it found are kept, so a side that is itself computed is not
-    computed again by each join."""
-    found = side.limit(max_rows + 1).toArrow()
-    if found.num_rows > max_rows:
-        return side
-    return F.broadcast(side.sparkSession.createDataFrame(found, side.schema))
-
+from tidemark.sources.topics import within_offsets
 
 def join_inner(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(right, list(on), "inner")
@@ -66,7 +52,9 @@ def join_not_in(
     keys = right.select(*[F.col(r).alias(n) for r, n in zip(right_on, names, strict=True)])
     keys = keys.distinct()
     kept = left
-    for known in product((True, False), repeat=len(names)):
+    # The patterns that occur, from one aggregate: at most 2^n rows. Others need no join
+    right_patterns = _patterns(keys, names)
+    for known in right_patterns:
         side = keys.where(_known(names, known))
         if all(known):
             pairs = zip(left_on, names, strict=True)
@@ -75,7 +63,13 @@ def join_not_in(
         # Few distinct patterns reach here in practice: rows with a NULL in the key
         usable = [(c, n) for c, n, k in zip(left_on, names, known, strict=True) if k]
         kept = _drop_possible(kept, side, usable)
-    return _drop_left_nulls(kept, keys, list(left_on), names)
+    return _drop_left_nulls(kept, keys, list(left_on), names, right_patterns)
+
+
+def _patterns(rows: DataFrame, names: Sequence[str]) -> list[tuple[bool, ...]]:
+    """Which columns are set together, for every combination that occurs."""
+    flags = rows.select(*[F.col(n).isNotNull().alias(f"_f{i}") for i, n in enumerate(names)])
+    return sorted((tuple(row) for row in flags.distinct().collect()), reverse=True)
 
 
 def _known(names: Sequence[str], known: Sequence[bool]) -> Column:
@@ -103,10 +97,14 @@ def _drop_possible(left: DataFrame, side: DataFrame, usable: list[tuple[str, str
 
 
 def _drop_left_nulls(
-    left: DataFrame, keys: DataFrame, columns: list[str], names: list[str]
+    left: DataFrame,
+    keys: DataFrame,
+    columns: list[str],
+    names: list[str],
+    right_patterns: list[tuple[bool, ...]],
 ) -> DataFrame:
     """Drop left rows whose own NULLs leave them possibly equal to a row of `keys`."""
-    for known in product((True, False), repeat=len(columns)):
+    for known in _patterns(left, columns):
         if all(known):
             continue
         pattern = _known(columns, known)
@@ -116,7 +114,8 @@ def _drop_left_nulls(
             continue
         # On each column the row does have: equal, or NULL in the subquery. Split by the
         # subquery's own pattern so that every join keeps an equality
-        for right_known in product((True, False), repeat=len(pairs)):
+        occurring = {tuple(r for r, k in zip(right, known) if k) for right in right_patterns}
+        for right_known in sorted(occurring, reverse=True):
             side = keys.where(_known([n for _, n in pairs], right_known))
             usable = [pair for pair, k in zip(pairs, right_known) if k]
             if not usable:
@@ -134,6 +133,9 @@ def join_cross_values(rows: DataFrame, values: dict[str, Column], name: str, val
     return rows.select("*", F.inline(F.array(*pairs)))
 
 
+OFFSETS_PER_SLOT = 1 << 20
+
+
 def join_offset_range(
     rows: DataFrame,
     bounds: DataFrame,
@@ -142,15 +144,23 @@ def join_offset_range(
 ) -> DataFrame:
     """Rows in their partition's [start_offset, end_offset), with the bounds' columns.
 
-    `bounds` has one row per partition and period: a few, checked before it is
-    broadcast."""
-    side = checked_broadcast(bounds.withColumnRenamed(partition, "_partition"))
-    inside = (
-        (F.col(partition) == F.col("_partition"))
-        & (F.col(offset) >= F.col("start_offset"))
-        & (F.col(offset) < F.col("end_offset"))
+    `bounds` has a row per partition and period. The outermost bounds of each partition are put
+    into the scan as values: one row per topic partition reaches the driver. Offsets are cut into
+    slots, so rows meet the periods of their own slot, and a topic of few partitions is dealt out
+    to as many tasks as it has slots."""
+    outer = bounds.groupBy(partition).agg(
+        F.min("start_offset").alias("low"), F.max("end_offset").alias("high")
+    ).where("low IS NOT NULL AND high IS NOT NULL").collect()
+    lows = {row[partition]: row["low"] for row in outer}
+    highs = {row[partition]: row["high"] for row in outer}
+    first = F.floor(F.col("start_offset") / OFFSETS_PER_SLOT)
+    last = F.floor((F.col("end_offset") - 1) / OFFSETS_PER_SLOT)
+    periods = bounds.where("start_offset < end_offset").withColumn("_slot", F.explode(F.sequence(first, last)))
+    slotted = rows.where(within_offsets(lows, highs, partition, offset)).withColumn(
+        "_slot", F.floor(F.col(offset) / OFFSETS_PER_SLOT)
     )
-    return rows.join(side, inside).drop("_partition")
+    inside = (F.col(offset) >= F.col("start_offset")) & (F.col(offset) < F.col("end_offset"))
+    return slotted.join(periods, [partition, "_slot"]).where(inside).drop("_slot")
 
 
 def join_correlated_max(rows: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

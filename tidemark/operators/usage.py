@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark import contract as c
 from tidemark.functions.times import epoch_window, instant
-from tidemark.operators.joins import checked_broadcast
 from tidemark.operators.series import (
     consecutive_pairs,
     counter_delta,
@@ -261,7 +260,7 @@ def interval_usage(
     spans = spans.withColumn(
         "slot", F.explode(F.sequence(floor_hour(F.col("p_start")), floor_hour(F.col("p_end")), step))
     )
-    met = pairs.join(checked_broadcast(spans), "slot").where(
+    met = pairs.join(spans, "slot").where(
         F.col("slot") == floor_hour(F.greatest(F.col("from_us"), F.col("p_start")))
     )
     overlap = F.least(F.col("end_us"), F.col("p_end")) - F.greatest(F.col("start_us"), F.col("p_start"))

@@ -3,6 +3,7 @@
 A day's samples are those between its start and end, so no pair of samples crosses from one
 day to the next: every step is keyed by the day, and many days are built in one run."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import contract as c
 from tidemark.functions.labels import first_match, rate_bucket, regime
 from tidemark.functions.times import epoch_window, instant
-from tidemark.operators.joins import checked_broadcast, join_offset_range
+from tidemark.operators.joins import join_offset_range
 from tidemark.operators.messages import message_percentiles, message_windows
 from tidemark.operators.usage import (
     catalog_windows,
@@ -21,7 +22,8 @@ from tidemark.operators.usage import (
     neighbour_cores,
     service_windows,
 )
-from tidemark.sources.tables import write_by_day
+from tidemark.session import scratch_path
+from tidemark.sources.tables import delete_path, replace_days
 
 DAY = ["day"]
 
@@ -50,7 +52,7 @@ def day_dates(days: DataFrame) -> DataFrame:
     start = F.timestamp_seconds(epoch_window(F.col("start_ts")))
     calendar = days.select("day", start.alias("_start"), instant(F.col("end_ts")).alias("_end"))
     dates = F.explode(F.sequence(F.to_date("_start"), F.to_date("_end")))
-    return checked_broadcast(calendar.withColumn("_date", dates))
+    return calendar.withColumn("_date", dates)
 
 
 def in_day(rows: DataFrame, dates: DataFrame, ts: str = "ts") -> DataFrame:
@@ -66,15 +68,18 @@ def in_day(rows: DataFrame, dates: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def day_windows(
-    inputs: DayInputs, max_gap_seconds: float = c.MAX_SAMPLE_GAP_SECONDS
+    inputs: DayInputs,
+    max_gap_seconds: float = c.MAX_SAMPLE_GAP_SECONDS,
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> dict[str, DataFrame]:
-    """The three tables of windows: services, catalogs, branches."""
+    """The three tables of windows: services, catalogs, branches. All three read the services'
+    usage, which `keep` may store, so that it is computed once."""
     days = day_dates(inputs.days)
     built = service_windows(
         in_day(inputs.samples, days), ["day", "service"], max_gap_seconds=max_gap_seconds
     )
-    built = flag_exits(built, in_day(inputs.exits, days), ["day", "service"])
-    services = built.join(checked_broadcast(inputs.services), "service")
+    built = keep(flag_exits(built, in_day(inputs.exits, days), ["day", "service"]))
+    services = built.join(inputs.services, "service")
     postgres = built.where(F.col("service") == inputs.postgres_service)
     catalogs = catalog_windows(
         in_day(inputs.catalog_samples, days), postgres, max_gap_seconds=max_gap_seconds, keys=DAY
@@ -106,7 +111,7 @@ def branch_windows(
         F.lit(True).alias("_host"),
         *[F.col(name).alias(f"_{name}") for name in HEALTH],
     )
-    calendar = checked_broadcast(inputs.days.select("day", "branch", "caught_up_at"))
+    calendar = inputs.days.select("day", "branch", "caught_up_at")
     joined = messages.join(calendar, "day").join(health, ["day", "window_epoch"], "left")
     contaminated = host_contaminated(
         F.coalesce("_host", F.lit(False)), F.col("_steal_pct"), F.col("_neighbour_cpu_cores")
@@ -138,10 +143,21 @@ HEALTH = {
 
 
 def rebuild_days(inputs: DayInputs, root: str, **options) -> dict[str, str]:
-    """Write the windows, replacing the days present and no others; returns the paths.
-    Rebuilding a day gives the same rows."""
+    """Write the windows in place of those of the days asked for, and of no others; returns the
+    paths. A day that has no windows any more ends up without any. Rebuilding a day gives the
+    same rows."""
+    spark = inputs.days.sparkSession
+    aside = scratch_path(spark, "service-usage")
+
+    def keep(rows: DataFrame) -> DataFrame:
+        rows.write.parquet(aside)
+        return spark.read.schema(rows.schema).parquet(aside)
+
+    # A row per day of the calendar that was asked for
+    days = [r[0] for r in inputs.days.select(F.col("day").cast("string")).distinct().collect()]
     paths = {}
-    for name, rows in day_windows(inputs, **options).items():
+    for name, rows in day_windows(inputs, keep=keep, **options).items():
         paths[name] = f"{root}/{name}"
-        write_by_day(rows, paths[name], "day")
+        replace_days(rows, paths[name], "day", days)
+    delete_path(spark, aside)
     return paths

@@ -6,7 +6,6 @@ events it already has, Gold rebuilds an hour that was already right."""
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark import contract as c
 from tidemark.operators.dedup import dedup_batch, not_yet_in
-from tidemark.operators.filters import hour_ranges_filter, in_hours
+from tidemark.operators.filters import hour_ranges_filter
 from tidemark.operators.ranking import hour_islands, oldest_hours
 from tidemark.operators.sets import union_all
 from tidemark.plans.gold import GOLD, GOLD_INPUTS, GOLD_SCHEMAS
@@ -31,9 +30,6 @@ from tidemark.sources.tables import (
 )
 
 PASS = "pass_id"
-MAX_PASSES = 200
-# Ranges of hours inlined into a plan; more are joined as a table
-MAX_RANGES = 48
 
 
 # --- Caps: how far one pass reads -------------------------------------------------------
@@ -170,33 +166,22 @@ class StateTable:
 # --- Backlog ----------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Backlog:
-    """What one more pass still has to read."""
-
-    silver_rows: int
-    gold_hours: int
-    positions: Mapping[str, int | None] = field(default_factory=dict)
-
-    def progressed_from(self, previous: "Backlog") -> bool:
-        """A pass moved a position, or left less to do."""
-        return (
-            self.silver_rows < previous.silver_rows
-            or self.gold_hours < previous.gold_hours
-            or dict(self.positions) != dict(previous.positions)
-        )
-
-
 def rows_behind(commits: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows appended after each model's position; every row for a model without one.
 
-    `positions` has model and position: a few rows, and so have `commits`."""
-    after = F.col("position").isNull() | (F.col(COMMIT) > F.col("position"))
-    return (
-        positions.join(commits, after, "left")
-        .groupBy("model")
-        .agg(F.coalesce(F.sum("added_rows"), F.lit(0)).alias("behind"))
+    A running total over the list of commits (lines, not rows) says how many rows there are up to
+    any commit; a position takes the total of the last commit at or below it."""
+    read = F.lit(None).cast("string")
+    lines = commits.select(COMMIT, "added_rows", read.alias("model"), F.lit(0).alias("_after"))
+    marks = positions.select(
+        F.col("position").alias(COMMIT), F.lit(None).cast("bigint").alias("added_rows"), "model", F.lit(1).alias("_after")
     )
+    # A mark stands after the commit of its own number, one without a position before all
+    order = [F.col(COMMIT).asc_nulls_first(), F.col("_after")]
+    totals = lines.unionByName(marks).withColumn("_read", F.coalesce(F.sum("added_rows").over(
+        Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0)))
+    whole = commits.agg(F.coalesce(F.sum("added_rows"), F.lit(0)))
+    return totals.where("_after = 1").select("model", (whole.scalar() - F.col("_read")).alias("behind"))
 
 
 def gold_hours_behind(
@@ -283,15 +268,16 @@ class Pipeline:
     def append_bronze(self, rows: DataFrame, commit_id: int) -> int:
         return self.bronze.append(rows, commit_id)
 
-    def silver_pass(self, max_rows: int | None = None) -> int:
-        """One pass of every Silver model over the commits it has not read. Returns the
-        number of models that had something to read.
+    def silver_pass(self, max_rows: int | None = None, up_to: int | None = None) -> int:
+        """One pass of every Silver model over the commits it has not read, or those of them up to
+        `up_to`. Returns the number of models that had something to read.
 
         A pass repeated after a crash reads the same range again: the events a model
         already holds are dropped."""
         current = self.bronze.current()
         if current is None:
             return 0
+        current = current if up_to is None else min(current, up_to)
         done = self._positions()
         # Models mostly share their position: what depends on it alone is asked once
         read_up_to: dict[int | None, int] = {}
@@ -334,7 +320,8 @@ class Pipeline:
     def _read_up_to(self, last: int | None, current: int, max_rows: int | None) -> int:
         if max_rows is None:
             return current
-        capped = capped_range(self.bronze.commits(), max_rows, last).first()[0]
+        listed = self.bronze.commits().where(F.col(COMMIT) <= current)
+        capped = capped_range(listed, max_rows, last).first()[0]
         return current if capped is None else capped
 
     def _build_silver(
@@ -393,18 +380,15 @@ class Pipeline:
         ranges = hour_islands(hours).select(
             F.col("range_start").cast("string"), F.col("range_end").cast("string")
         )
-        # Many ranges are not brought to the driver: their hours are joined
-        listed = ranges.limit(MAX_RANGES + 1).collect()
+        # Pending hours grow with the time they cover, not with rows
+        listed = [tuple(r) for r in ranges.collect()]
         if not listed:
             return False
         silver = {}
         for name in GOLD_INPUTS[model]:
             table = self.silver[name]
             rows = table.as_of(inputs[name]) if name in inputs else table.read().where(F.lit(False))
-            if len(listed) <= MAX_RANGES:
-                silver[name] = hour_ranges_filter(rows, [tuple(r) for r in listed])
-            else:
-                silver[name] = in_hours(rows, hours)
+            silver[name] = hour_ranges_filter(rows, listed)
         snapshot = inputs.get(GOLD_INPUTS[model][0]) or 0
         rows = GOLD[model](silver).withColumn(
             "silver_snapshot_id", F.lit(snapshot).cast("bigint")
@@ -424,33 +408,37 @@ class Pipeline:
 
     # Backlog
 
-    def backlog(self) -> Backlog:
-        """Rows Silver has not read (least advanced model), hours Gold has not rebuilt (most
-        loaded model), and the positions. Counted from the commit log, no data is read."""
+    def backlog(self) -> DataFrame:
+        """One row: rows Silver has not read (least advanced model), hours Gold has not rebuilt
+        (most loaded model), and the positions. From the logs, no data is read."""
         done = self._positions()
         positions = {model: done.get((model, "bronze")) for model in self.silver_models}
         readers = self.spark.createDataFrame(list(positions.items()), "model string, position bigint")
-        behind = rows_behind(self.bronze.commits(), F.broadcast(readers))
-        most = behind.agg(F.max("behind")).first()[0]
-        hours = self.pending_hours().groupBy("model").count().agg(F.max("count")).first()[0]
-        return Backlog(int(most or 0), int(hours or 0), positions)
-
-    def catch_up(
-        self, max_rows: int | None = None, max_hours: int | None = None, max_passes: int = MAX_PASSES
-    ) -> int:
-        """Passes until nothing is left; fails when a pass leaves everything as it was."""
-        passes = 0
-        backlog = self.backlog()
-        while passes < max_passes:
-            self.silver_pass(max_rows)
+        behind = rows_behind(self.bronze.commits(), readers).agg(F.coalesce(F.max("behind"), F.lit(0)))
+        waiting = self.pending_hours().groupBy("model").count()
+        most = waiting.agg(F.coalesce(F.max("count"), F.lit(0)))
+        pairs = F.map_from_entries(F.collect_list(F.struct("model", "position")))
+        return readers.agg(pairs.alias("positions")).select(
+            behind.scalar().alias("silver_rows"), most.scalar().alias("gold_hours"), "positions"
+        )
+
+    def catch_up(self, max_rows: int | None = None, max_hours: int | None = None) -> int:
+        """Passes until everything that is in Bronze now has reached Gold; returns how many.
+
+        What the stream commits meanwhile is left to the next call, so this ends on a live table
+        as well. Fails only when a pass leaves all positions and hours as they were."""
+        target, passes, before = self.bronze.current(), 0, None
+        while True:
+            self.silver_pass(max_rows, target)
             self.gold_pass(max_hours)
             passes += 1
-            previous, backlog = backlog, self.backlog()
-            if backlog.silver_rows == 0 and backlog.gold_hours == 0:
+            after = self.backlog().select("gold_hours", "positions").first()
+            at = after["positions"].values()
+            if after["gold_hours"] == 0 and all(p is not None and p >= target for p in at if target is not None):
                 return passes
-            if not backlog.progressed_from(previous):
-                raise RuntimeError(f"pass {passes} moved nothing: {backlog}")
-        raise RuntimeError(f"backlog left after {max_passes} passes: {backlog}")
+            if after == before:
+                raise RuntimeError(f"pass {passes} moved nothing: {after.asDict()}")
+            before = after
 
 
 def _pending(model: str, hours: DataFrame, pending: bool) -> DataFrame:
@@ -459,8 +447,3 @@ def _pending(model: str, hours: DataFrame, pending: bool) -> DataFrame:
 
 def gold_time(model: str) -> str:
     return "minute" if model.endswith("_minute") else "hour"
-
-
-def since(as_of: Column, hours: int) -> Column:
-    """Start of a check window."""
-    return as_of - F.make_dt_interval(hours=F.lit(hours))

@@ -1,5 +1,7 @@
 """Session settings the operators rely on, and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -29,10 +31,14 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster shares between its nodes, as `spark.checkpoint.dir` names it.
 
-    Only where nothing is configured (a local test session) is a temporary one made."""
+    Where nothing is configured a local session gets a temporary one, which goes when the process
+    ends; any other session has to name a folder all its machines see."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 

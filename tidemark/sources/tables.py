@@ -3,11 +3,18 @@
 A commit is one folder, `commit_id=<n>`, split by day of event time. Writing a commit again
 replaces its folder, so a replayed write leaves the table unchanged. Commit ids only grow:
 "appended after a, up to b" and "as of b" are ranges of a partition column, which Spark
-prunes before it opens a file."""
+prunes before it opens a file.
 
-from collections.abc import Iterable
+Merged days live apart from the commits, in `<path>_merged/segment=<n>`, where no writer of
+commits can reach them; their rows keep their commit id. A line of `<path>_merges`, written last,
+says up to which commit a day was merged and into which segment. Readers take a day's merged rows
+from the segment its last line names, and commits above that line: a commit that is written again
+after it was merged is not read twice, and loses nothing."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +30,15 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+MERGE_SCHEMA = T.StructType(
+    [
+        T.StructField(DAY, T.DateType()),
+        T.StructField("up_to", T.LongType()),
+        T.StructField("segment", T.LongType()),
+    ]
+)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists, on whatever file system the cluster uses."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -85,7 +101,7 @@ class CommitTable:
             .parquet(folder)
         )
         # From the file footers: no column is read
-        added = self.spark.read.schema(self.schema).parquet(folder).count()
+        added = self.written(commit_id).count()
         line = self.spark.range(1).select(
             F.lit(added).cast("bigint").alias("added_rows"),
             F.current_timestamp().alias("committed_at"),
@@ -102,15 +118,37 @@ class CommitTable:
         lines = partition_folders(self.spark, self.log_path)
         return max((int(line.rsplit("=", 1)[1]) for line in lines), default=None)
 
+    def written(self, commit_id: int) -> DataFrame:
+        """The rows of one commit as they were written: only its own folder is listed."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{COMMIT}={commit_id}")
+
+    def merges(self) -> dict[date, tuple[int, int]]:
+        """{day: (last merged commit, segment)}: a line per merged day and merge."""
+        lines = read_parts(self.spark, f"{self.path}_merges", MERGE_SCHEMA).collect()
+        found: dict[date, tuple[int, int]] = {}
+        for line in sorted(lines, key=lambda x: x["segment"]):
+            if line[DAY] is not None:
+                found[line[DAY]] = (line["up_to"], line["segment"])
+        return found
+
+    def scans(self) -> list[DataFrame]:
+        """The table as one scan of commits, and one of merged days where there are any."""
+        commit, day = T.StructField(COMMIT, T.LongType()), T.StructField(DAY, T.DateType())
+        kept = read_parts(self.spark, self.path, T.StructType([*self.schema.fields, commit, day]))
+        merges = self.merges()
+        if not merges:
+            return [kept]
+        up_to = by_day({day: line[0] for day, line in merges.items()})
+        segment = by_day({day: line[1] for day, line in merges.items()})
+        kept = kept.where(F.coalesce(F.col(COMMIT) > up_to, F.lit(True)))
+        place = T.StructField("segment", T.LongType())
+        stored = T.StructType([*self.schema.fields, commit, place, day])
+        merged = read_parts(self.spark, f"{self.path}_merged", stored)
+        return [kept, merged.where(F.col("segment") == segment).drop("segment")]
+
     def read(self) -> DataFrame:
-        stored = T.StructType(
-            [
-                *self.schema.fields,
-                T.StructField(COMMIT, T.LongType()),
-                T.StructField(DAY, T.DateType()),
-            ]
-        )
-        return read_parts(self.spark, self.path, stored)
+        scans = self.scans()
+        return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
     def as_of(self, commit_id: int) -> DataFrame:
         """The table as it was after `commit_id`."""
@@ -122,6 +160,21 @@ class CommitTable:
         return rows if after is None else rows.where(F.col(COMMIT) > after)
 
 
+def by_day(values: dict[date, int]) -> Column:
+    """The value of a row's day, null without one; on the partition column, so it prunes."""
+    pairs = [F.lit(x) for day, value in values.items() for x in (day.isoformat(), value)]
+    return F.try_element_at(F.create_map(*pairs), F.col(DAY).cast("string")).cast("bigint")
+
+
+def utc(moment: datetime | str) -> Column:
+    """A timestamp literal. A datetime without a zone is UTC: PySpark would read it in the
+    zone of the driver's machine."""
+    if isinstance(moment, datetime):
+        zoned = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+        moment = zoned.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.to_timestamp(F.lit(f"{moment}+00:00"))
+
+
 def between_times(rows: DataFrame, lower, upper, time_column: str = "event_time") -> DataFrame:
     """Rows of a closed time range given as values: prunes the day partitions too."""
     bounded = rows.where(F.col(time_column).between(F.lit(lower), F.lit(upper)))
@@ -181,19 +234,38 @@ def write_by_day(rows: DataFrame, path: str, day: str, mode: str = "overwrite")
     )
 
 
-def file_stats(table: DataFrame, commit: str = COMMIT) -> DataFrame:
-    """Files, bytes and commits behind a stored table, from file metadata alone."""
-    files = (
-        table.select(
+def replace_days(rows: DataFrame, path: str, day: str, days: Sequence[str]) -> None:
+    """Write a table split by a day column in place of the given days: one of them that has no
+    rows any more ends up empty."""
+    spark, seen = rows.sparkSession, Observation()
+    wanted = rows.where(F.col(day).cast("string").isin(list(days)))
+    # As many values as days were asked for
+    counted = wanted.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
+    write_by_day(counted, path, day)
+    for name in sorted(set(days) - set(seen.get.get("days", []))):
+        delete_path(spark, f"{path}/{day}={name}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def file_stats(table: CommitTable, commit: str = COMMIT) -> DataFrame:
+    """Files, bytes and commits behind a stored table, from file metadata and the commit column."""
+    scans = [
+        scan.select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_size").alias("file_size"),
             F.col(commit).alias("commit_id"),
         )
-        .groupBy("file_path")
-        .agg(F.max("file_size").alias("file_size"), F.max("commit_id").alias("commit_id"))
-    )
-    return files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
-        F.countDistinct("commit_id").alias("commits"),
+        for scan in table.scans()
+    ]
+    found = scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
+    files = found.groupBy("file_path", "commit_id").agg(F.max("file_size").alias("file_size"))
+    sizes = files.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
+    commits = files.agg(F.countDistinct("commit_id").alias("commits"))
+    totals = sizes.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")
     )
+    return totals.select("files", "bytes", commits.scalar().alias("commits"))
