@@ -1011,3 +1011,46 @@ def parity(t: Tables):
         "gold_langs_hour": langs.withColumn("lang", other),
     }
     return compare(a, b)
+
+
+@query(
+    "calendar_latest",
+    """SELECT CAST(day AS VARCHAR) AS day, coalesce(forced_branch, CASE (day - DATE '2024-01-02') % 2
+        WHEN 0 THEN 'duckdb' ELSE 'spark' END) AS branch
+    FROM calendar WHERE day > (SELECT max(day) - 2 FROM calendar)""",
+    "calendar",
+)
+def calendar_latest(t: Tables):
+    found = ratios.calendar_latest(t.calendar, date(2024, 1, 2))
+    return found.select(F.col("day").cast("string").alias("day"), "branch")
+
+
+def _suite_sql() -> str:
+    parts = []
+    for check in checks.SUITE:
+        if check.model not in SUITE_MODELS:
+            continue
+        columns = ", ".join(check.columns)
+        recent = " AND processed_at >= TIMESTAMP '2024-01-08'" if check.recent_only else ""
+        wrong = {
+            "not_null": f"SELECT 1 FROM {check.model} WHERE {columns} IS NULL",
+            "accepted": f"SELECT 1 FROM {check.model} WHERE {columns} NOT IN {check.accepted}{recent}",
+            "unique": f"SELECT {columns} FROM {check.model} WHERE true{recent}"
+            f"{''.join(f' AND {x} IS NOT NULL' for x in check.columns)} GROUP BY {columns} HAVING count(*) > 1",
+        }[check.kind]
+        if "bronze_snapshot_id" in columns:
+            wrong = "SELECT 1 WHERE false"
+        parts.append(f"SELECT '{check.model}' AS model, '{check.name}' AS \"check\", '{check.severity}' AS severity,"
+                     f" (SELECT count(*) FROM ({wrong})) AS failures")
+    return " UNION ALL ".join(parts)
+
+
+SUITE_MODELS = ("silver_posts", "silver_likes", "silver_deletes", "gold_langs_hour", "gold_engagement_hour")
+
+
+@query("check_suite", _suite_sql(), " ".join(SUITE_MODELS))
+def check_suite(t: Tables):
+    """The declared checks of five of the models, on rows that fail some of them."""
+    silver = {n: rows.withColumn("bronze_snapshot_id", F.lit(1)) for n, rows in silver_tables(t).items()}
+    built = {**silver, **{n: GOLD[n](silver_tables(t)) for n in SUITE_MODELS if n in GOLD}}
+    return checks.run_suite({n: built[n] for n in SUITE_MODELS}, utc(SINCE))

@@ -490,10 +490,15 @@ def latest_per_key(t: Tables):
 
 @query(
     "count_up_to",
-    """SELECT least(count(*), 500000) AS n_rows FROM lineitem WHERE l_quantity > 10""",
+    """SELECT 'below' AS cap, count(*) AS n_rows FROM lineitem WHERE l_quantity > 10
+    UNION ALL SELECT 'reached', (SELECT count(*) // 2 FROM lineitem)""",
 )
 def count_up_to(t: Tables):
-    return ranking.count_up_to(t.lineitem.where("l_quantity > 10"), 500_000)
+    """A cap that is not reached, and one of half the table's rows, which is."""
+    half = t.lineitem.count() // 2
+    wide = ranking.count_up_to(t.lineitem.where("l_quantity > 10"), 2 * half + 1)
+    reached = ranking.count_up_to(t.lineitem, half)
+    return wide.select(F.lit("below").alias("cap"), "*").unionByName(reached.select(F.lit("reached").alias("cap"), "*"))
 
 
 @query(

@@ -20,6 +20,7 @@ from tidemark.plans.silver import SILVER, SILVER_SCHEMAS
 from tidemark.session import scratch_path
 from tidemark.sources import tables, topics
 from tidemark.sources.envelopes import bronze_parse as parse
+from tidemark.sources.envelopes import decode_messages
 from tidemark.streaming.bronze import BronzeWriter, start_bronze
 
 BRONZE = ", ".join(c.BRONZE_COLUMNS)
@@ -62,15 +63,11 @@ def stored(t: Tables, name: str) -> tables.CommitTable:
 
 @query(
     "bronze_parse",
-    """SELECT seq, did, collection, operation, rkey, rev, cid, event_time,
-        record::JSON ->> '$.createdAt' AS created, kafka_partition::BIGINT AS kafka_partition,
-        kafka_offset, processed_at FROM messages WHERE usable""",
+    f"SELECT {DUCK_BRONZE} FROM messages WHERE usable",
     "messages",
 )
 def bronze_parse(t: Tables):
-    rows = parse(t.messages, F.col("timestamp"))
-    created = F.get_json_object("record", "$.createdAt")
-    return rows.withColumn("record", created).withColumnRenamed("record", "created")
+    return spelled(parse(t.messages, F.col("timestamp")))
 
 
 @query(
@@ -111,34 +108,18 @@ def kafka_source(t: Tables):
     "messages",
 )
 def bronze_append(t: Tables):
-    """Stream the messages into Bronze, lose the last commit mark, start again: the batch
-    is replayed and replaces itself."""
+    """Stream the messages into Bronze in several micro-batches, and start the stream again: it
+    carries on where it ended, and nothing comes twice."""
     folder = scratch_path(t.spark, "stream")
-    t.messages.drop("commit_id").write.parquet(f"{folder}/messages")
+    t.messages.drop("commit_id").repartition(4).write.parquet(f"{folder}/messages")
     table = bronze_table(t, "bronze")
-    checkpoint = f"{folder}/checkpoint"
-    for attempt in range(2):
+    for _ in range(2):
         writer = BronzeWriter(table, processed_at=F.col("timestamp"))
-        stream = topics.read_message_files(t.spark, f"{folder}/messages")
-        start_bronze(stream, writer, checkpoint, {"availableNow": True}).awaitTermination()
-        if attempt == 0:
-            forget_last_batch(t.spark, checkpoint)
+        stream = topics.read_message_files(t.spark, f"{folder}/messages", max_files=2)
+        start_bronze(stream, writer, f"{folder}/checkpoint", {"availableNow": True}).awaitTermination()
     return spelled(table.read())
 
 
-def forget_last_batch(spark, checkpoint: str) -> None:
-    """Leave the checkpoint as a crash between the write and the mark does."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    folder = fs.Path(f"{checkpoint}/commits")
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath() for status in system.listStatus(folder)]
-    marks = [path for path in names if path.getName().isdigit()]
-    last = max(marks, key=lambda path: int(path.getName()))
-    system.delete(last, False)
-    checksum = fs.Path(folder, f".{last.getName()}.crc")
-    system.delete(checksum, False)
-
-
 @query(
     "day_partitioned_table",
     """SELECT commit_id, CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_day, count(*) AS n,
@@ -215,13 +196,15 @@ SLICE_MINUTES = 7 * 24 * 60
     """SELECT kafka_partition::BIGINT AS partition, kafka_offset AS "offset", processed_at AS "timestamp",
         seq, usable FROM messages WHERE processed_at >= TIMESTAMP '2024-01-10'
         AND processed_at < TIMESTAMP '2024-01-17'""",
-    "bronze",
+    "messages",
 )
 def freeze_slice(t: Tables):
     path = scratch_path(t.spark, "slice")
     messages = t.messages.drop("commit_id")
     frozen = topics.freeze_slice(messages, path, SLICE_START, SLICE_MINUTES)
-    return frozen.drop("value")
+    rows = decode_messages(frozen, F.col("timestamp"))
+    names = {"kafka_partition": "partition", "kafka_offset": "offset", "processed_at": "timestamp"}
+    return rows.select(*names, "seq", "usable").withColumnsRenamed(names)
 
 
 @query(

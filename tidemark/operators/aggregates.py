@@ -57,11 +57,12 @@ def latest_value(rows: DataFrame, keys: Sequence[str], value: str, order: str) -
 def first_copy(
     rows: DataFrame, keys: Sequence[str] = ("kafka_partition", "kafka_offset")
 ) -> DataFrame:
-    """One row per message: earliest write and event time over its copies. The collection
-    is part of the message, the same on every copy: grouping by it keeps this a hash
-    aggregate. Copies collapse before the shuffle, whatever their number."""
-    return rows.groupBy(*keys, "collection").agg(
-        F.min("processed_at").alias("processed_at"), F.min("event_time").alias("event_time")
+    """One row per message: earliest write and event time over its copies, and the collection of
+    its earliest copy. Copies collapse before the shuffle, whatever their number."""
+    return rows.groupBy(*keys).agg(
+        F.min_by("collection", F.struct("processed_at", "collection")).alias("collection"),
+        F.min("processed_at").alias("processed_at"),
+        F.min("event_time").alias("event_time"),
     )
 
 

@@ -3,6 +3,7 @@
 Windows on `processed_at` take an explicit moment, so a check can be repeated."""
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -237,3 +238,96 @@ def bounds_reached(positions: DataFrame, bounds: DataFrame) -> DataFrame:
         bounds.join(positions, "kafka_partition", "left")
         .agg(F.coalesce(F.bool_and(reached), F.lit(True)).alias("reached"))
     )
+
+
+@dataclass(frozen=True)
+class Check:
+    """A declared check of a model: what its rows have to hold, and how grave a failure is."""
+
+    model: str
+    kind: str
+    columns: tuple[str, ...]
+    accepted: tuple[str, ...] = ()
+    severity: str = "error"
+    recent_only: bool = False
+
+    @property
+    def name(self) -> str:
+        return f"{self.kind} {','.join(self.columns)}"
+
+
+def _declared() -> tuple[Check, ...]:
+    found = []
+    for model, (filled, warned) in SILVER_FILLED.items():
+        found.append(Check(model, "unique", ("seq",), recent_only=True))
+        found += [Check(model, "not_null", (name,)) for name in (*ALWAYS_FILLED, *filled)]
+        found += [Check(model, "not_null", (name,), severity="warn") for name in warned]
+    for model, (filled, unique) in GOLD_FILLED.items():
+        found += [Check(model, "not_null", (name,)) for name in filled]
+        found += [Check(model, "unique", columns) for columns in unique]
+    for (model, column), (accepted, recent_only) in ACCEPTED.items():
+        found.append(Check(model, "accepted", (column,), accepted, recent_only=recent_only))
+    return tuple(found)
+
+
+# Columns that are never NULL in any Silver model, in one of them, and those that
+# only warn
+ALWAYS_FILLED = ("seq", "did", "event_time", "bronze_snapshot_id")
+SILVER_FILLED = {
+    "silver_posts": ((), ()),
+    "silver_likes": ((), ("subject_uri",)),
+    "silver_reposts": ((), ("subject_uri",)),
+    "silver_follows": ((), ("subject_did",)),
+    "silver_deletes": (("rkey",), ()),
+}
+# Columns of Gold that are never NULL, and combinations that are unique
+GOLD_FILLED = {
+    "gold_activity_minute": (("minute", "creates", "deletes"), (("minute", "collection"),)),
+    "gold_langs_hour": (("hour", "lang", "posts"), (("hour", "lang"),)),
+    "gold_hashtags_hour": (("hour", "hashtag", "rank"), (("hour", "hashtag"), ("hour", "rank"))),
+    "gold_active_users_hour": (("hour", "active_accounts"), (("hour", "collection"),)),
+    "gold_engagement_hour": (("hour", "likes", "net_likes"), (("hour",),)),
+}
+# The values a column may have, and whether only recent rows are looked at
+ACCEPTED = {
+    ("silver_posts", "operation"): (("create", "update"), True),
+    ("silver_deletes", "collection"): (c.COLLECTIONS, True),
+    ("gold_activity_minute", "collection"): (c.COLLECTIONS, False),
+    ("gold_active_users_hour", "collection"): (("all", *c.COLLECTIONS), False),
+}
+SUITE = _declared()
+
+
+def run_suite(
+    tables: Mapping[str, DataFrame], since: Column | None = None, suite: Sequence[Check] = SUITE
+) -> DataFrame:
+    """model, check, severity, failures of every declared check of the given tables.
+
+    NULLs and unaccepted values of a model are counted in one scan of it; each uniqueness is an
+    aggregate of its own. With `since`, the checks that look at recent rows only begin there."""
+    found = []
+    for model in dict.fromkeys(check.model for check in suite):
+        if model not in tables:
+            continue
+        rows, own = tables[model], [check for check in suite if check.model == model]
+        flags = {}
+        for check in own:
+            column = F.col(check.columns[0])
+            bad = column.isNull() if check.kind == "not_null" else ~column.isin(*check.accepted)
+            if check.recent_only and since is not None and check.kind == "accepted":
+                bad = bad & (F.col("processed_at") >= since)
+            if check.kind != "unique":
+                flags[check] = F.count_if(bad)
+        entries = [
+            F.struct(F.lit(k.name).alias("check"), F.lit(k.severity).alias("severity"), n.alias("failures"))
+            for k, n in flags.items()
+        ]
+        found.append(rows.agg(F.array(*entries).alias("checks")).select(F.lit(model).alias("model"), F.inline("checks")))
+        for check in own:
+            if check.kind == "unique":
+                looked_at = recent(rows, since) if check.recent_only else rows
+                present = looked_at.dropna(subset=list(check.columns))
+                count = having_more_than(present, check.columns).agg(F.count(F.lit(1)).alias("failures"))
+                found.append(count.select(F.lit(model).alias("model"), F.lit(check.name).alias("check"),
+                                          F.lit(check.severity).alias("severity"), "failures"))
+    return union_all(found)

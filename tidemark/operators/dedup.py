@@ -19,8 +19,9 @@ def keep_first(rows: DataFrame, keys: list[str], *order: Column | str) -> DataFr
 def dedup_batch(
     rows: DataFrame, key: str = "seq", order: tuple[Column | str, ...] = ("processed_at",)
 ) -> DataFrame:
-    """One row per event: copies are the same event, the earliest processed one stays."""
-    return keep_first(rows, [key], *order)
+    """One row per event: copies are the same event, the earliest processed one stays. Copies of
+    one time are ordered by a hash of the row, so that the same one stays in every run."""
+    return keep_first(rows, [key], *order, F.xxhash64(*map(F.col, rows.columns)))
 
 
 def not_yet_in(

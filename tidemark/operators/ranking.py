@@ -27,9 +27,10 @@ def latest_one(rows: DataFrame, *order: Column) -> DataFrame:
 
 
 def count_up_to(rows: DataFrame, limit: int | None, name: str = "n_rows") -> DataFrame:
-    """Row count, not counting past `limit`: every task stops at the limit."""
-    counted = rows if limit is None else rows.limit(limit)
-    return counted.agg(F.count(F.lit(1)).alias(name))
+    """Row count, or `limit` where there are more. Tasks count, and one number a task is added up:
+    a limit before the count would send that many rows of every task to one of them."""
+    n = F.count(F.lit(1))
+    return rows.agg((n if limit is None else F.least(n, F.lit(limit).cast("bigint"))).alias(name))
 
 
 def oldest_hours(pending: DataFrame, k: int | None, hour: str = "hour") -> DataFrame:

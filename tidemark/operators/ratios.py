@@ -3,10 +3,13 @@
 All inputs here are window figures: one row per five minutes and branch, service or
 database, whatever the number of events behind them."""
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import contract as c
+from tidemark.functions.labels import rotation_branch
 from tidemark.operators.aggregates import per_unit, ratio_of_sums
 from tidemark.operators.percentiles import percentile_within_group
 
@@ -276,3 +279,10 @@ def rolling(rows: DataFrame, ts: str, days: int, as_of: Column) -> DataFrame:
 def bytes_per_row(rows: Column, inlined: Column, size: Column) -> Column:
     """Bytes per stored row, rows kept in the catalog itself left out."""
     return per_unit(size.cast("double"), rows - inlined)
+
+
+def calendar_latest(calendar: DataFrame, start: date, days: int = 2) -> DataFrame:
+    """The latest days of the calendar with the branch of each: a forced one wins over the
+    rotation that began at `start`."""
+    latest = calendar.orderBy(F.desc("day")).limit(days)
+    return latest.withColumn("branch", rotation_branch(F.col("day"), start, F.col("forced_branch")))

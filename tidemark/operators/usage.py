@@ -113,7 +113,8 @@ def host_windows(
 
     Gaps are not limited. CPU is NULL as soon as one pair of the window lacks it."""
     series = list(series)
-    pairs = _timed(consecutive_pairs(samples, series)).where("gap_us > 0")
+    ties = [name for name in samples.columns if name not in (*series, "ts")]
+    pairs = _timed(consecutive_pairs(samples, series, tie_break=ties)).where("gap_us > 0")
     parts = pairs.withColumn(
         "window_us", F.explode(overlapped_windows(F.col("start_us"), F.col("end_us"), seconds))
     )
@@ -158,7 +159,7 @@ def catalog_windows(
     `postgres_windows` has `window_epoch` and `cpu_ms` (and `keys`, such as the day). Every
     window with any activity has a row for each catalog, zeros included."""
     keys = [*keys, "window_epoch"]
-    pairs = _timed(consecutive_pairs(samples, [*keys[:-1], "db"]))
+    pairs = _timed(consecutive_pairs(samples, [*keys[:-1], "db"], tie_break=["active_time_ms"]))
     delta = F.col("b.active_time_ms") - F.col("a.active_time_ms")
     pairs = pairs.withColumn("delta", delta).where(_usable(max_gap_seconds) & (F.col("delta") >= 0))
     parts = pairs.withColumn(
