@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, decontaminate, fingerprints, langid, neardup, packed_ids, repeats, secrets, shards, warc
 
+from tidemark.llm.oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -64,4 +68,3 @@ QUERIES: dict[str, Query] = {
     for f in (op1_warc, op2_secrets, op3_sharding, op4_near_duplicates, op5_packed_ids, op6_repeats,
               op7_language, op8_fingerprints, op9_decontamination, op10_byte_bpe)
 }
-ORACLE_SQL: dict[str, str] = {}
