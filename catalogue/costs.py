@@ -424,16 +424,16 @@ BRANCH_DOUBLES = (
 
 # The three tables one below the other: four figures, a flag and a label of each
 WINDOWS = """SELECT CAST(day AS VARCHAR) AS day, window_epoch, branch AS name, messages::DOUBLE AS a,
-        latency_p50_ms AS b, latency_p95_ms AS c, neighbour_cpu_cores AS d, host_contaminated AS flag,
+        latency_p50_ms AS b, latency_p95_ms AS c, neighbour_cpu_cores AS d, CAST(host_contaminated AS VARCHAR) AS flag,
         regime || ' ' || rate_bucket || ' ' || mix AS label
     FROM branch_windows JOIN (
         SELECT day, window_epoch, string_agg(collection || ' ' || n, ', ' ORDER BY collection) AS mix
         FROM (SELECT day, window_epoch, collection, count(*) AS n FROM day_latencies GROUP BY ALL)
         GROUP BY ALL) USING (day, window_epoch)
     UNION ALL SELECT CAST(day AS VARCHAR), window_epoch, service, cpu_ms, ram_mib_s, covered_s,
-        peak_anon_mib, restarted, branch || ' ' || layer FROM service_windows
+        peak_anon_mib, CAST(restarted AS VARCHAR), branch || ' ' || layer FROM service_windows
     UNION ALL SELECT CAST(day AS VARCHAR), window_epoch, db, active_ms, active_share, cpu_ms_estimate,
-        NULL, NULL, branch FROM catalog_windows"""
+        NULL, 'none', branch FROM catalog_windows"""
 
 
 @query(
@@ -450,11 +450,11 @@ def rebuild_day(t: Tables):
     mix = "array_join(transform(array_sort(map_entries(collections)), x -> concat(x.key, ' ', x.value)), ', ')"
     columns = {
         "branch_windows": f"""branch AS name, messages AS a, latency_p50_ms AS b, latency_p95_ms AS c,
-            neighbour_cpu_cores AS d, host_contaminated AS flag, concat(regime, ' ', rate_bucket, ' ', {mix}) AS label""",
+            neighbour_cpu_cores AS d, CAST(host_contaminated AS STRING) AS flag, concat(regime, ' ', rate_bucket, ' ', {mix}) AS label""",
         "service_windows": """service AS name, cpu_ms AS a, ram_mib_s AS b, covered_s AS c, peak_anon_mib AS d,
-            restarted AS flag, branch || ' ' || layer AS label""",
+            CAST(restarted AS STRING) AS flag, branch || ' ' || layer AS label""",
         "catalog_windows": """db AS name, active_ms AS a, active_share AS b, cpu_ms_estimate AS c,
-            CAST(NULL AS DOUBLE) AS d, CAST(NULL AS BOOLEAN) AS flag, branch AS label""",
+            CAST(NULL AS DOUBLE) AS d, 'none' AS flag, branch AS label""",
     }
     found = [
         t.spark.sql(
