@@ -2,16 +2,16 @@
 
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.medallion import silver_tables
 from catalogue.registry import Tables, query
 from catalogue.relational import cost_points
-from catalogue.shape import CTES
+from catalogue.shape import CTES, over
 from tidemark import contract as c
 from tidemark.operators import checks, messages, ranking, ratios, usage
 from tidemark.operators.parity import parity as compare
-from tidemark.operators.percentiles import add_histograms
 from tidemark.operators.sets import union_all
 from tidemark.plans import benchmark_day as bench
 from tidemark.plans.gold import GOLD
@@ -75,8 +75,7 @@ def shape(t: Tables, name: str):
     events = t.events
     if name == "exits":
         events = events.where(EXITED)
-    events.createOrReplaceTempView("sampled_events")
-    return t.spark.sql(f"SELECT {SPARK_SAMPLES[name]} FROM sampled_events")
+    return over(events, f"SELECT {SPARK_SAMPLES[name]} FROM sampled_events", "sampled_events")
 
 
 W = 300_000_000
@@ -411,9 +410,14 @@ def day_inputs(t: Tables) -> bench.DayInputs:
 
 
 def days(t: Tables) -> dict:
-    """The stored windows of every day, as a rebuild leaves them."""
-    paths = bench.rebuild_days(day_inputs(t), scratch_path(t.spark, "windows"), max_gap_seconds=GAP)
-    return {name: t.spark.read.parquet(path) for name, path in paths.items()}
+    """The windows of every day, with the services' usage computed once for all three tables."""
+    aside = scratch_path(t.spark, "service-usage")
+
+    def keep(rows: DataFrame) -> DataFrame:
+        rows.write.parquet(aside)
+        return t.spark.read.schema(rows.schema).parquet(aside)
+
+    return bench.day_windows(day_inputs(t), max_gap_seconds=GAP, keep=keep)
 
 
 BRANCH_DOUBLES = (

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import Tables, query
 from catalogue.shape import CTES
-from tidemark import contract as c
 from tidemark.functions.times import epoch_window, latency_ms
 from tidemark.operators import aggregates, joins, messages, percentiles, ranking, ratios, sets
 from tidemark.operators.series import consecutive_pairs

@@ -5,6 +5,8 @@ record of its collection's form. The expressions are written once, in SQL both e
 accept. This is test data, not an operator. Every event is kept; some appear twice, as a
 stream that delivers at least once has them."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,10 +132,20 @@ def with_ctes(sql: str, names: list[str]) -> str:
     return f"WITH {pieces}\n{sql}"
 
 
+def over(rows: DataFrame, sql: str, name: str) -> DataFrame:
+    """SQL over a frame that it calls `name`. The view behind it has a name of its own, so none of
+    a user's is replaced, and is gone once the plan is made."""
+    spark, view = rows.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        return spark.sql(sql.replace(f"FROM {name}", f"FROM {view}"))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def bronze_rows(spark: SparkSession, events: DataFrame) -> DataFrame:
     """Bronze rows with `commit_id`, and `value` of the event for the sample shapes."""
-    events.createOrReplaceTempView("events")
-    shaped = spark.sql(EVENT_SHAPE)
+    shaped = over(events, EVENT_SHAPE, "events")
     copy = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
     rows = shaped.withColumn("copy", copy)
     later = F.col("processed_at").cast("timestamp") + F.make_dt_interval(hours=F.col("copy"))
