@@ -217,23 +217,23 @@ def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
     """n and root: the components of the verified candidate pairs.
 
     First every member against two representatives, and all pairs of the smallest buckets. Then,
-    between the components found, all pairs of small buckets, and representatives of large ones
-    until a round brings no link."""
+    between the components found, all pairs of small buckets, and representatives of large ones,
+    twice as many every round, until a round brings no link."""
     first = members.withColumn("root", F.col("n"))
     pairs = representative_pairs(first, (0, 1)).union(small_bucket_pairs(first, TINY_BUCKET))
     tested = stored(ordered(pairs), "pairs")
-    links, seed = stored(verified(tested, vector), "links"), 2
+    links, seed, more = stored(verified(tested, vector), "links"), 2, 8
     while True:
         roots = components(links).withColumnRenamed("node", "n")
         rest = stored(rooted(members, roots), "rest")
-        pairs = representative_pairs(rest.filter(F.col("members") > SMALL_BUCKET), (seed,))
+        pairs = representative_pairs(rest.filter(F.col("members") > SMALL_BUCKET), tuple(range(seed, seed + more)))
         if seed == 2:
             pairs = pairs.union(small_bucket_pairs(rest, SMALL_BUCKET))
         pairs = stored(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
         if not found.take(1):
             return roots
-        tested, links, seed = tested.union(pairs), links.union(found), seed + 1
+        tested, links, seed, more = tested.union(pairs), links.union(found), seed + more, more * 2
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
