@@ -112,7 +112,7 @@ def test_words_have_the_ids_of_the_whole_text():
 
     library = Tokenizer.from_file(WORDS)
     texts = [r[1] or "" for r in odd_rows()]
-    texts += ["ΟΔΟΣ ΟΔΟΣ. ΟΔΟΣ\nΣ", "a \u0301b e\u0301", "it's\u00a0they'll\x0b\x1c<|endoftext|> x<|endoftext|>y", "  \n \n", "a. b, é. 5, !!. ., .. _. ._, x.. ½, 日, ٣. a\u0301. <|endoftext|>."]
+    texts += ["ΟΔΟΣ ΟΔΟΣ. ΟΔΟΣ\nΣ", "a \u0301b e\u0301", "it's\u00a0they'll\x0b\x1c<|endoftext|> x<|endoftext|>y", "  \n \n", "İstanbul STRASSE ǅ क़ ﬁ", "a. b, é. 5, !!. ., .. _. ._, x.. ½, 日, ٣. a\u0301. <|endoftext|>."]
     texts += ["x" + chr(c) + "Y 1" + chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000]
     got = list(packed_ids.encoded(iter(texts), WORDS))
     assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]

@@ -15,6 +15,7 @@ A reader asks for the trailer, the offsets and then for the blocks it needs. Unp
 over a whole block."""
 
 import itertools
+import json
 import os
 import struct
 import zlib
@@ -165,35 +166,70 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.replace("\n", " ").split(" ") if w]
 
 
+@lru_cache(maxsize=2)
+def word_ends(path: str) -> np.ndarray | None:
+    """Which ids end a word, if the vocabulary marks them."""
+    suffix = json.loads(tokenizer(path).to_str())["model"].get("end_of_word_suffix")
+    if not suffix:
+        return None
+    vocabulary = tokenizer(path).get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return ends
+
+
+def called(words: list[str], numbers: np.ndarray, between: str, path: str):
+    """The numbers and ids of words that go to the library many at a time."""
+    calls = [numbers[i : i + CALL_WORDS] for i in range(0, len(numbers), CALL_WORDS)]
+    for start in range(0, len(calls), CALLS):
+        own = calls[start : start + CALLS]
+        joined = [between.join([words[i] for i in call.tolist()]) for call in own]
+        found = tokenizer(path).encode_batch_fast(joined, add_special_tokens=False)
+        yield from zip(own, (np.array(e.ids, np.uint32) for e in found), strict=True)
+
+
 def encode_stems(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words one after another, and the n + 1 offsets. Words go to the library many at a
-    time, with a special token between them: the library cuts there before anything else. The few
-    words that hold a special token's text themselves go alone."""
-    library = tokenizer(path)
+    """Ids of all words one after another, and the n + 1 offsets.
+
+    Words of letters go to the library with spaces between them: each is one word to it, which ends
+    where an id says so. Others, and calls where the ends don't add up, go with a special token
+    between them: the library cuts there before anything else. The few words that hold a special
+    token's text themselves go alone."""
+    library, ends = tokenizer(path), word_ends(path)
     special = {t.content: i for i, t in library.get_added_tokens_decoder().items() if t.special and not t.normalized}
     between = min(special, key=special.get, default=None)
-    alone = [i for i, w in enumerate(words) if between is None or any(t in w for t in special)]
-    together = np.delete(np.arange(len(words)), alone)
-    calls = [together[i : i + CALL_WORDS] for i in range(0, len(together), CALL_WORDS)]
-    sizes, flat = np.zeros(len(words), np.int64), []
-    for start in range(0, len(calls), CALLS):
-        joined = [between.join([words[i] for i in call.tolist()]) for call in calls[start : start + CALLS]]
-        for call, e in zip(calls[start : start + CALLS], library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
+    plain = np.array([ends is not None and w.isalpha() for w in words], bool)
+    alone = [i for i in np.flatnonzero(~plain).tolist() if between is None or any(t in words[i] for t in special)]
+    sizes, order, flat = np.zeros(len(words), np.int64), [], []
+    left = [np.setdiff1d(np.flatnonzero(~plain), alone)]
+    for call, ids in called(words, np.flatnonzero(plain), " ", path):
+        stops = np.flatnonzero(ends[ids]) + 1
+        if len(stops) == len(call) and stops[-1] == len(ids):
+            sizes[call] = np.diff(stops, prepend=0)
+            order.append(call)
+            flat.append(ids)
+        else:
+            left.append(call)
+    if between is None:
+        alone += np.concatenate(left[1:]).tolist() if len(left) > 1 else []
+    else:
+        for call, ids in called(words, np.concatenate(left), between, path):
             cuts = np.flatnonzero(ids == special[between])
             sizes[call] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            order.append(call)
             flat.append(ids[ids != special[between]])
-    own = [np.array(e.ids, np.uint32) for e in library.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)]
-    sizes[alone] = [len(x) for x in own]
-    ends = np.append(0, np.cumsum(sizes))
-    out = np.zeros(int(ends[-1]), np.uint32)
-    at = np.ones(len(out), bool)
-    for i, x in zip(alone, own, strict=True):
-        out[ends[i] : ends[i + 1]] = x
-        at[ends[i] : ends[i + 1]] = False
-    if flat:
-        out[at] = np.concatenate(flat)
-    return out, ends
+    for i, e in zip(alone, library.encode_batch_fast([words[i] for i in alone], add_special_tokens=False), strict=True):
+        sizes[i] = len(e.ids)
+        order.append(np.array([i]))
+        flat.append(np.array(e.ids, np.uint32))
+    out_ends = np.append(0, np.cumsum(sizes))
+    out = np.zeros(int(out_ends[-1]), np.uint32)
+    if order:
+        at = np.concatenate(order)
+        size = sizes[at]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(out_ends[at], size) + place] = np.concatenate(flat)
+    return out, out_ends
 
 
 def encode_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
