@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.blocks import encoded_blocks
 from tidemark.llm.common import whole_text, widened
 
-BLOCK_WORDS = 150_000
-BLOCK_PIECES = 2_000_000
+BLOCK_WORDS = 100_000
+BLOCK_PIECES = 1_500_000
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 

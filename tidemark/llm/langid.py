@@ -28,7 +28,7 @@ GRAMS = 30_000
 LANGUAGES = 64
 LEAST_SHARE = 0.2  # of the n-gram's best relative frequency: less counts as noise in a language
 UNKNOWN = "und"
-BLOCK_CHARS = 1_500_000
+BLOCK_CHARS = 500_000
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 

@@ -192,8 +192,8 @@ def representative_pairs(members: DataFrame, seeds: tuple[int, ...]) -> DataFram
     orders = [F.xxhash64("n", "band", F.lit(seed)) for seed in seeds]
     rep = F.struct("n", "root")
     reps = members.groupBy("band", "key").agg(F.array(*[F.min_by(rep, o) for o in orders]).alias("reps"))
-    pairs = members.join(reps, ["band", "key"]).select("n", "root", F.explode("reps").alias("rep"))
-    pairs = pairs.filter("root <> rep.root")
+    others = F.array_distinct(F.filter("reps", lambda r: r["root"] != F.col("root")))
+    pairs = members.join(reps, ["band", "key"]).select("n", F.explode(others).alias("rep"))
     return pairs.select(F.col("n").alias("a"), F.col("rep.n").alias("b"))
 
 
