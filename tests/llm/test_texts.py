@@ -212,6 +212,16 @@ def test_one_row_of_each_class_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted({low for _, low in brute_classes(spark, rows) if low is not None})
 
 
+def test_classes_that_share_their_least_id_each_keep_a_row(spark):
+    new = prose(6, 80)
+    rows = odd_rows() + [(None, new, "en", "c", 1), (30, new, "en", "c", 1), (None, new, "en", "c", 1), (31, prose(7, 80), "en", "c", 1)]
+    kept = neardup.without_near_duplicates(frame(spark, rows, clash=True)).collect()
+    heads = [(1, prose(1, 120)), (20, prose(4, 80)), (20, prose(5, 80)), (None, prose(3, 50)), (None, new), (31, prose(7, 80))]
+    assert all(sum((r["doc_id"], r["text"]) == h for r in kept) == 1 for h in heads)
+    assert sum(r["doc_id"] is None and not r["text"] for r in kept) == 1
+    assert not {2, 3, 30} & {r["doc_id"] for r in kept} and len({r["text"] for r in kept if r["text"]}) == sum(bool(r["text"]) for r in kept)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     assert neardup.without_near_duplicates(frame(spark, [])).count() == 0

@@ -237,8 +237,8 @@ def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """k, tk and low (the least k of its class), once for each distinct (k, tk) of `docs`, which has
-    k, tk and text. Texts that are equal, or linked by a chain of similarities of SIMILAR or more,
+    """k, tk, root (the class) and low (its least k, which classes may share), once for each distinct
+    (k, tk) of `docs`, which has k, tk and text. Texts that are equal, or linked by a chain of similarities of SIMILAR or more,
     are one class. tk names a text; an empty text has a tk of its own for every k."""
     known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, docs.count()))
     marks = stored(signed(docs, known), "signatures")
@@ -252,7 +252,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     roots = near_roots(members, vector)
     classes = texts.select("n", "k", "tk").join(roots, "n", "left").withColumn("root", F.coalesce("root", "n"))
     lows = classes.groupBy("root").agg(F.min("k").alias("low"))
-    named = classes.join(lows, "root").select("tk", "low")
+    named = classes.join(lows, "root").select("tk", "root", "low")
     return marks.select("k", "tk").distinct().join(named, "tk")
 
 
@@ -278,10 +278,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each class, that of the least doc_id; columns as they are."""
+    """One row of each class, that of the least doc_id; columns as they are. Different classes each
+    keep a row, also if their least doc_id is the same or null."""
     rows = named_texts(docs.withColumnsRenamed({"k": "__k", "tk": "__tk"}))
     classes = near_classes(rows.select("k", "tk", whole_text().alias("text")))
-    kept = classes.filter("k = low").groupBy("low").agg(F.min("tk").alias("tk")).withColumnRenamed("low", "k")
+    kept = classes.groupBy("root").agg(F.min(F.struct("k", "tk")).alias("head")).select("head.k", "head.tk")
     first = Window.partitionBy("k", "tk").orderBy("tk")
     return (rows.join(kept, ["k", "tk"]).withColumn("__row", F.row_number().over(first)).filter("__row = 1")
             .drop("k", "tk", "__row").withColumnsRenamed({"__k": "k", "__tk": "tk"}).select(*docs.columns))
