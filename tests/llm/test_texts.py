@@ -222,6 +222,27 @@ def test_classes_that_share_their_least_id_each_keep_a_row(spark):
     assert not {2, 3, 30} & {r["doc_id"] for r in kept} and len({r["text"] for r in kept if r["text"]}) == sum(bool(r["text"]) for r in kept)
 
 
+def test_a_hot_bucket_compares_its_small_components_too(spark):
+    base = prose(90, 150).split(" ")
+
+    def own(words, name, start, stop):
+        return [f"{name}{i}" if start <= i < stop else w for i, w in enumerate(words)]
+
+    texts = [own(base, f"v{i}x", 5 + i % 100, 6 + i % 100) for i in range(300)]
+    pair, odd = own(base, "p", 20, 70), own(texts[7], "z", 120, 121)
+    texts += [pair, own(pair, "q", 140, 145), odd]
+    rows = [(i, " ".join(w), "en", "s", 1) for i, w in enumerate(texts)]
+    known = neardup.frequent_words(frame(spark, rows), len(rows))
+    vectors = [neardup.weighted_shingles(*neardup.text_bytes(pa.array([r[1]])), known)[0] for r in rows]
+    near = [[j for j in range(len(rows)) if j != i and neardup.similarity(vectors[i], vectors[j]) >= neardup.SIMILAR] for i in (300, 301, 302)]
+    assert near[:2] == [[301], [300]] and near[2] and len(near[2]) < 20 and max(near[2]) < 300
+    vector = spark.createDataFrame(
+        [(i, bytearray(h.tobytes()), bytearray(w.tobytes())) for i, (h, w) in enumerate(vectors)], "n bigint, hashes binary, weights binary")
+    members = spark.createDataFrame([(i, 0, 1, len(rows)) for i in range(len(rows))], "n bigint, band int, key bigint, members bigint")
+    roots = {i: i for i in range(len(rows))} | dict(rows_of(neardup.near_roots(members, vector), "n", "root"))
+    assert roots[301] == 300 and {r for i, r in roots.items() if i not in (300, 301)} == {0}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
     assert neardup.without_near_duplicates(frame(spark, [])).count() == 0

@@ -11,8 +11,9 @@ Signatures of BANDS x ROWS samples are cut into bands; texts that agree in a who
 candidates, and candidates are verified by their exact weighted Jaccard similarity. Equal texts
 are one node from the start. Within a bucket every member is compared with a representative, in
 each band another one; components of the links found are contracted, and only members of different
-components are compared further, in small buckets all of them. So a group of n copies costs
-about n comparisons a band, not n squared, and a bucket of different texts is compared in full."""
+components are compared further: in small buckets all of them, and in large ones all that an exact
+weighted prefix filter lets reach SIMILAR. So a group of n copies costs about n comparisons a band,
+not n squared, and no pair of a bucket that could link two components is left out."""
 
 from functools import lru_cache
 
@@ -33,6 +34,8 @@ DRAWS = 1 << 14  # pre-drawn rows of (r, b, ln c); a shingle's hash picks its ro
 TINY_BUCKET, SMALL_BUCKET = 8, 64
 BLOCK_BYTES = 2_000_000
 CHUNK = 4096
+COUNTERS = 1 << 20  # of shingles by hash; they order the prefixes and decide nothing
+NEED = SIMILAR / (1 + SIMILAR) * (1 - 1e-6)  # of both texts' weights: what a pair of SIMILAR shares
 
 Words = tuple[np.ndarray, np.ndarray]  # sorted word hashes, 1 + ln(N / df)
 
@@ -213,12 +216,88 @@ def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(left.filter("low <> high").select("band", "key"), ["band", "key"])
 
 
+def hot_vectors(rest: DataFrame, vector: DataFrame) -> DataFrame:
+    """n, root, hashes and weights of the members of large buckets."""
+    hot = rest.filter(F.col("members") > SMALL_BUCKET).select("n", "root").distinct()
+    return vector.join(hot, "n").select("n", "root", "hashes", "weights")
+
+
+def shingle_counters(texts: DataFrame) -> np.ndarray:
+    """How many of the texts hold a shingle, in COUNTERS sums by its hash."""
+
+    def count(batches):
+        for batch in batches:
+            held = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column(0)]
+            slot, n = np.unique(mixed(np.concatenate(held)) & np.uint64(COUNTERS - 1), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"slot": slot.astype(np.int32), "n": n.astype(np.int64)})
+
+    counted = texts.select("hashes").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    found, out = counted.toPandas(), np.zeros(COUNTERS, np.int64)
+    out[found["slot"].to_numpy(np.int64)] = found["n"]
+    return out
+
+
+def prefixes(texts: DataFrame, counters) -> DataFrame:
+    """n, root, shingle, rest (the weight from this shingle on), total: the first shingles of each
+    text, rare ones first, while the weight from there on may be all that a similar text shares."""
+
+    def cut(batches):
+        for batch in batches:
+            for part in [batch.slice(i, 500) for i in range(0, batch.num_rows, 500)]:
+                names, rests, totals = [], [], []
+                for h, w in zip(part.column(2), part.column(3), strict=True):
+                    h, w = np.frombuffer(h.as_py(), np.uint64), np.frombuffer(w.as_py(), np.float32)
+                    order = np.lexsort((h, counters.value[(mixed(h) & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                    rest = np.cumsum(w[order][::-1], dtype=np.float64)[::-1]
+                    n = int((rest >= NEED * (1 + SIMILAR) * rest[0]).sum())
+                    names.append(h[order[:n]])
+                    rests.append(rest[:n])
+                    totals.append(np.full(n, rest[0]))
+                sizes = [len(x) for x in names]
+                yield pa.RecordBatch.from_pydict({
+                    "n": np.repeat(part.column(0).to_numpy(), sizes), "root": np.repeat(part.column(1).to_numpy(), sizes),
+                    "shingle": np.concatenate(names).view(np.int64), "rest": np.concatenate(rests),
+                    "total": np.concatenate(totals)})
+
+    return texts.mapInArrow(cut, "n bigint, root bigint, shingle bigint, rest double, total double")
+
+
+def large_bucket_pairs(rest: DataFrame, vector: DataFrame) -> DataFrame:
+    """Every pair of different components that can reach SIMILAR, of the members of large buckets.
+
+    Texts share at most the lesser of the weights that follow their first common shingle, and have
+    to share NEED of both. So similar texts have a shingle in both prefixes whose `rest` suffices.
+    Components meet before their members do: members of one component never meet each other."""
+    texts = hot_vectors(rest, vector)
+    counters = rest.sparkSession.sparkContext.broadcast(shingle_counters(texts))
+    every = stored(prefixes(texts, counters), "prefixes")
+    several = every.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    own = stored(every.join(several.select("shingle"), "shingle"), "prefixes")
+    held = own.groupBy("shingle", "root").agg(F.max("rest").alias("most"), F.min("total").alias("least"), F.max("total").alias("longest"))
+    other = held.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("root", "most", "least", "longest")])
+    enough = NEED * (F.col("least") + F.col("other_least"))
+    met = held.join(other, "shingle").filter(
+        (F.col("root") != F.col("other_root")) & (F.col("least") <= F.col("other_longest"))
+        & (F.col("most") >= enough) & (F.col("other_most") >= enough))
+    short = own.select("shingle", "root", F.col("n").alias("a"), F.col("rest").alias("a_rest"), F.col("total").alias("a_total"))
+    long = own.select("shingle", F.col("root").alias("other_root"), F.col("n").alias("b"), F.col("rest").alias("b_rest"),
+                      F.col("total").alias("b_total"))
+    # the shorter text of a pair is a: its own weight twice is the least that both can have
+    first = met.select("shingle", "root", "other_root", "other_least").join(short, ["shingle", "root"]).filter(
+        F.col("a_rest") >= NEED * (F.col("a_total") + F.greatest("a_total", "other_least")))
+    both = NEED * (F.col("a_total") + F.col("b_total"))
+    pairs = first.join(long, ["shingle", "other_root"]).filter(
+        (F.col("a_total") <= F.col("b_total")) & (F.col("a_rest") >= both) & (F.col("b_rest") >= both))
+    return pairs.select("a", "b")
+
+
 def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
     """n and root: the components of the verified candidate pairs.
 
     First every member against two representatives, and all pairs of the smallest buckets. Then,
     between the components found, all pairs of small buckets, and representatives of large ones,
-    twice as many every round, until a round brings no link."""
+    twice as many every round, until a round brings no link. Representatives only contract: at last
+    all pairs of the components left in large buckets are compared that can reach SIMILAR."""
     first = members.withColumn("root", F.col("n"))
     pairs = representative_pairs(first, (0, 1)).union(small_bucket_pairs(first, TINY_BUCKET))
     tested = stored(ordered(pairs), "pairs")
@@ -231,9 +310,15 @@ def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
             pairs = pairs.union(small_bucket_pairs(rest, SMALL_BUCKET))
         pairs = stored(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
         found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
+        tested = tested.union(pairs)
         if not found.take(1):
-            return roots
-        tested, links, seed, more = tested.union(pairs), links.union(found), seed + more, more * 2
+            break
+        links, seed, more = links.union(found), seed + more, more * 2
+    if not rest.filter(F.col("members") > SMALL_BUCKET).take(1):
+        return roots
+    pairs = stored(ordered(large_bucket_pairs(rest, vector)).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
+    return components(links.union(found)).withColumnRenamed("node", "n") if found.take(1) else roots
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
