@@ -111,6 +111,15 @@ def test_language_without_labels(spark):
     assert langid.identified(frame(spark, [])).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    source, rows = random.Random(8), []
+    words = [["".join(source.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(8)] for _ in range(70)]
+    for i in range(70 * 8):
+        rows.append((i, " ".join(source.choices(words[i % 70], k=30)), f"l{i % 70:02}", "s", 1))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identified(frame(spark, rows)).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
 def test_filter_holds_what_was_put_in_for_more_than_64_languages():
     names = tuple(f"l{i:02}" for i in range(70))
     table = np.zeros((2, 1 << 12), np.uint64)

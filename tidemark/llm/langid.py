@@ -7,9 +7,11 @@ for the false positives that the fill of each language's slice makes likely, and
 the largest share decides.
 
 The filter is fitted on a bounded sample of the labelled rows (`per_language` documents of each of
-the `languages` most frequent languages are expected, `grams` n-grams of each are kept), so the
-model has a bounded size and may be broadcast. Prediction is row by row and shuffles nothing."""
+the labelled languages are expected, `grams` n-grams of each are kept); every language is learned.
+Languages come in groups of 64 with a table each, so the model grows with their number alone and
+may be broadcast. Prediction is row by row and shuffles nothing."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
 
@@ -18,14 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mixed, paired, whole_text, widened
+from tidemark.llm.common import mixed, paired, stored, whole_text, widened
 
 SIZES = (3, 4)  # code points of an n-gram
 PROBES = 3
 SLOTS_PER_GRAM = 8
 PER_LANGUAGE = 1500
 GRAMS = 30_000
-LANGUAGES = 64
 LEAST_SHARE = 0.2  # of the n-gram's best relative frequency: less counts as noise in a language
 UNKNOWN = "und"
 BLOCK_CHARS = 500_000
@@ -36,15 +37,18 @@ SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 @dataclass(frozen=True)
 class Filter:
     languages: tuple[str, ...]
-    table: np.ndarray  # uint64 masks, one row for every 64 languages
+    table: Sequence[np.ndarray]  # uint64 masks, one row of its own size for every 64 languages
     false_positive: np.ndarray  # per language
 
     def masks(self, names: np.ndarray) -> np.ndarray:
-        at = slots(names, self.table.shape[1])
-        out = self.table[:, at[0]]
-        for probe in at[1:]:
-            out = out & self.table[:, probe]
-        return out
+        out = []
+        for row in self.table:
+            at = slots(names, len(row))
+            mask = row[at[0]]
+            for probe in at[1:]:
+                mask = mask & row[probe]
+            out.append(mask)
+        return np.array(out)
 
 
 def slots(names: np.ndarray, size: int) -> list[np.ndarray]:
@@ -115,18 +119,19 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS, languages: int = LANGUAGES) -> Filter:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS) -> Filter:
     """Learn from `text` and `lang` of the documents that are not held out. The model is a driver
-    object of bounded size: `languages` x `grams` n-grams at the most."""
+    object of bounded size: `grams` n-grams of each language at the most."""
     rows = training_rows(docs)
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counted = rows.groupBy("lang").count().collect()
     names = tuple(sorted(r["lang"] for r in counted))
     if not names:
         return Filter((), np.zeros((1, 1), np.uint64), np.zeros(0))
     number = {name: i for i, name in enumerate(names)}
-    share = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    shares = [(r["lang"], min(1.0, per_language / r["count"])) for r in counted]
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double"))
     place = (F.xxhash64("doc_id").bitwiseAND(F.lit(2**31 - 1)) / float(2**31))
-    sample = rows.filter(place < share[F.col("lang")]).select("text", "lang")
+    sample = rows.join(share, "lang").filter(place < F.col("share")).select("text", "lang")
 
     def count(batches):
         for batch in batches:
@@ -149,22 +154,28 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, grams: int = GRAMS, l
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not totals:
         return Filter(names, np.zeros(((len(names) + 63) // 64, 1), np.uint64), np.zeros(len(names)))
-    total = F.create_map(*[F.lit(x) for k, v in totals.items() for x in (k, float(v))])
+    sums = [(k, float(v)) for k, v in totals.items()]
+    total = F.broadcast(docs.sparkSession.createDataFrame(sums, "lang int, total double"))
     kept = (
-        counts.withColumn("often", F.col("n") / total[F.col("lang")])
+        counts.join(total, "lang").withColumn("often", F.col("n") / F.col("total"))
         .withColumn("best", F.max("often").over(by_gram))
         .filter(F.col("often") >= LEAST_SHARE * F.col("best"))
         .withColumn("place", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram")))
         .filter(F.col("place") <= grams)
-        .select("lang", "gram").toPandas()
+        .select("lang", "gram")
     )
-    size = 1 << max(10, (SLOTS_PER_GRAM * kept["gram"].nunique() - 1).bit_length())
-    table = np.zeros(((len(names) + 63) // 64, size), np.uint64)
-    for i, own in kept.groupby("lang")["gram"]:
-        for at in slots(own.to_numpy(np.int64).view(np.uint64), size):
-            table[i // 64, at] |= np.uint64(1 << (i % 64))
-    fill = np.array([((table[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(names))])
-    return Filter(names, table, np.minimum(fill**PROBES, 0.99))
+    kept = stored(kept, "grams") if len(names) > 64 else kept
+    tables = []
+    for start in range(0, len(names), 64):
+        own = kept.filter(F.col("lang").between(start, start + 63)).toPandas()
+        size = 1 << max(10, (SLOTS_PER_GRAM * own["gram"].nunique() - 1).bit_length())
+        table = np.zeros(size, np.uint64)
+        for i, held in own.groupby("lang")["gram"]:
+            for at in slots(held.to_numpy(np.int64).view(np.uint64), size):
+                table[at] |= np.uint64(1 << (i % 64))
+        tables.append(table)
+    fill = np.array([((tables[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(names))])
+    return Filter(names, tables, np.minimum(fill**PROBES, 0.99))
 
 
 def blocks(texts: list[str], limit: int = BLOCK_CHARS):
