@@ -98,5 +98,15 @@ def test_shards_are_near_equal_and_growth_moves_slots_into_the_new_one(spark):
     assert max(grown.values()) < 1.05 * min(grown.values()) and len(grown) == 9
 
 
+def test_shards_are_near_equal_when_ids_and_rows_repeat(spark):
+    rows = [(None if i % 3 else 7, "y" * 200 if i % 2 else f"{i:0200}", "en", "s", 1) for i in range(4000)]
+    got = shards.sharded(frame(spark, rows), shards=8).collect()
+    check_places(got)
+    sizes = {}
+    for r in got:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+    assert len(got) == len(rows) and len(sizes) == 8 and max(sizes.values()) < 1.02 * min(sizes.values())
+
+
 def test_shards_of_nothing(spark):
     assert shards.sharded(frame(spark, []), shards=4).count() == 0

@@ -20,8 +20,17 @@ LAW = "bytes"
 Loads = dict[int, tuple[int, int]]  # slot -> bytes, rows
 
 
-def virtual_slot(doc_id: str = "doc_id", slots: int = SLOTS):
-    return F.pmod(F.xxhash64(row_key(doc_id)), F.lit(slots)).cast("int")
+def record_hash(doc_id: str = "doc_id"):
+    """Of the id and the text, so that rows that repeat an id do not share a slot."""
+    return F.xxhash64(row_key(doc_id), whole_text())
+
+
+def salted(rows: DataFrame) -> DataFrame:
+    """`rows` with `virtual` for hash and row: the slot of the hash, and for equal rows of the row too."""
+    equal = rows.groupBy("hash").agg(F.count("*").alias("copies")).filter("copies > 1")
+    found = rows.join(equal, "hash", "left")
+    own = F.when(F.col("copies") > 1, F.xxhash64("hash", "row")).otherwise(F.col("hash"))
+    return found.withColumn("virtual", F.pmod(own, F.lit(SLOTS)).cast("int")).drop("hash", "row", "copies")
 
 
 def plan(loads: Loads, shards: int) -> dict[int, int]:
@@ -90,16 +99,16 @@ def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (place in the shard), grown_shard (null: the law
     is `bytes`), and virtual (slot), shard_after_growth (of map version 2).
 
-    A null text has no bytes. A null doc_id is hashed like any other; rows that repeat a doc_id
-    share its virtual slot, and have places of their own. An empty table has no rows and an empty
+    A null text has no bytes. A null doc_id is hashed like any other. The virtual slot follows from
+    doc_id and text, and for equal rows from their place in the input too. An empty table has no rows and an empty
     map. Further columns are ignored."""
     text = F.col("text").cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + OVERHEAD).alias("size"),
         F.crc32(F.coalesce(text, whole_text().cast("binary"))).alias("text_crc32"),
-        virtual_slot().alias("virtual"))
-    rows = stored(rows, "sizes")
+        record_hash().alias("hash"), F.monotonically_increasing_id().alias("row"))
+    rows = stored(salted(stored(rows, "sizes")), "slots")
     versions = map_table(docs, slot_loads(rows), shards)
     now = versions.filter("version = 1").select("virtual", "shard", "before")
     later = versions.filter("version = 2").select("virtual", F.col("shard").alias("shard_after_growth"))
