@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, fingerprints, langid, neardup, packed_ids, repeats, secrets, shards, warc
+from tidemark.llm import (
+    bpe, decontaminate, fingerprints, infill, langid, licenses, neardup, packed_ids, repeats, secrets, shards, trie, warc
+)
 
 from tidemark.llm.oracles import ORACLE_SQL
 
@@ -63,8 +65,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_warc, op2_secrets, op3_sharding, op4_near_duplicates, op5_packed_ids, op6_repeats,
-              op7_language, op8_fingerprints, op9_decontamination, op10_byte_bpe)
+              op7_language, op8_fingerprints, op9_decontamination, op10_byte_bpe, op11_prefix_trie,
+              op12_licenses, op13_fill_in_middle)
 }
