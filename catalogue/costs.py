@@ -250,12 +250,10 @@ CTES["clean_usage"] = (
 )
 CTES["ratios"] = (
     "branch_windows clean_usage",
-    """WITH per AS (SELECT *, 1.0 / messages AS one, 10000.0 / messages AS ten_k
-        FROM branch_windows WHERE messages <> 0)
-    SELECT day, branch, window_epoch, regime, rate_bucket, messages, latency_p50_ms, latency_p95_ms,
-        layer, cpu * one AS cpu_ms_per_message, ram * ten_k AS ram_mib_s_per_10k_messages,
-        swap * ten_k AS swap_mib_s_per_10k_messages, stalled AS psi_mem_ms, peak AS peak_anon_mib
-    FROM clean_usage JOIN per USING (day, branch, window_epoch)""",
+    """SELECT day, branch, window_epoch, regime, rate_bucket, messages, latency_p50_ms, latency_p95_ms,
+        layer, cpu / messages AS cpu_ms_per_message, 10000 * ram / messages AS ram_mib_s_per_10k_messages,
+        10000 * swap / messages AS swap_mib_s_per_10k_messages, stalled AS psi_mem_ms, peak AS peak_anon_mib
+    FROM clean_usage JOIN branch_windows USING (day, branch, window_epoch) WHERE messages <> 0""",
 )
 
 USAGE_DOUBLES = "cpu_ms ram_mib_s swap_mib_s psi_mem_ms majfaults peak_anon_mib covered_s"
@@ -492,14 +490,11 @@ def benchmark_ratios(t: Tables):
     return day_ratios(t)
 
 
-def weighted(column: str) -> str:
-    """SQL: the mean of a ratio over windows, each as heavy as its messages."""
-    return f"sum({column} * messages) / sum(messages) AS {column}"
-
-
-SUMMARY = f"""count() AS windows, sum(messages)::BIGINT AS messages, {weighted('cpu_ms_per_message')},
-    {weighted('ram_mib_s_per_10k_messages')}, median(latency_p50_ms) AS latency_p50_ms,
-    median(latency_p95_ms) AS latency_p95_ms, max(peak_anon_mib) AS peak_anon_mib"""
+# From the sums over all windows, not from the windows' ratios
+SUMMARY = """count() AS windows, sum(messages)::BIGINT AS messages,
+    sum(cpu) / sum(messages) AS cpu_ms_per_message, 10000 * sum(ram) / sum(messages) AS ram_mib_s_per_10k_messages,
+    median(latency_p50_ms) AS latency_p50_ms, median(latency_p95_ms) AS latency_p95_ms, max(peak) AS peak_anon_mib"""
+SUMMED = "clean_usage JOIN branch_windows USING (day, branch, window_epoch) WHERE messages <> 0"
 SUMMARY_DOUBLES = (
     "cpu_ms_per_message ram_mib_s_per_10k_messages:1 latency_p50_ms latency_p95_ms peak_anon_mib"
 )
@@ -509,8 +504,8 @@ AS_OF = date(2024, 1, 31)
 @query(
     "branch_daily",
     f"""SELECT CAST(day AS VARCHAR) AS day, branch, layer, regime, rate_bucket, {SUMMARY}
-    FROM ratios GROUP BY 1, 2, 3, 4, 5""",
-    "ratios",
+    FROM {SUMMED} GROUP BY 1, 2, 3, 4, 5""",
+    "clean_usage branch_windows",
     SUMMARY_DOUBLES,
 )
 def branch_daily(t: Tables):
@@ -520,10 +515,10 @@ def branch_daily(t: Tables):
 @query(
     "branches_compare",
     f"""SELECT branch, layer, regime, rate_bucket, {SUMMARY},
-        quantile_cont(cpu_ms_per_message, 0.5) AS cpu_ms_per_message_p50,
-        quantile_cont(cpu_ms_per_message, 0.95) AS cpu_ms_per_message_p95
-    FROM ratios WHERE day >= DATE '2024-01-31' - 21 GROUP BY 1, 2, 3, 4""",
-    "ratios",
+        quantile_cont(cpu / messages, 0.5) AS cpu_ms_per_message_p50,
+        quantile_cont(cpu / messages, 0.95) AS cpu_ms_per_message_p95
+    FROM {SUMMED} AND day >= DATE '2024-01-31' - 21 GROUP BY 1, 2, 3, 4""",
+    "clean_usage branch_windows",
     f"{SUMMARY_DOUBLES} cpu_ms_per_message_p50 cpu_ms_per_message_p95",
 )
 def branches_compare(t: Tables):
@@ -537,7 +532,7 @@ def branches_compare(t: Tables):
         avg(active_share) AS active_share
     FROM clean JOIN branch_windows USING (day, branch, window_epoch)
         JOIN catalog_windows USING (day, branch, window_epoch)
-    WHERE date_diff('day', day, DATE '2024-01-31') <= 21 AND cpu_ms_estimate >= 0 GROUP BY ALL""",
+    WHERE day >= DATE '2024-01-31' - 21 AND cpu_ms_estimate IS NOT NULL GROUP BY ALL""",
     "clean catalog_windows",
     "cpu_ms_per_message_estimate active_share",
 )
@@ -559,7 +554,7 @@ def catalogs_compare(t: Tables):
     SELECT branch, count() AS windows, sum(host_contaminated::INT)::BIGINT AS contaminated,
         sum(coalesce(restarted, false)::INT)::BIGINT AS restarted
     FROM branch_windows LEFT JOIN broken USING (day, branch, window_epoch)
-    WHERE date_diff('day', day, DATE '2024-01-31') <= 21 GROUP BY branch""",
+    WHERE day >= DATE '2024-01-31' - 21 GROUP BY branch""",
     "branch_windows service_windows",
 )
 def windows_kept(t: Tables):

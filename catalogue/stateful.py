@@ -2,9 +2,9 @@
 
 Each writes to a fresh folder below the cluster's shared one, so runs never meet."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalogue.medallion import DUCK_POSTS, flat, silver_tables
@@ -13,12 +13,13 @@ from catalogue.shape import CTES
 from tidemark import contract as c
 from tidemark.operators import maintenance
 from tidemark.operators.dedup import dedup_batch
+from tidemark.operators.filters import in_hours
 from tidemark.operators.parity import read_dump
 from tidemark.plans import incremental as inc
 from tidemark.plans.gold import GOLD, GOLD_SCHEMAS
 from tidemark.plans.silver import SILVER, SILVER_SCHEMAS
 from tidemark.session import scratch_path
-from tidemark.sources import tables, topics
+from tidemark.sources import message_log, tables, topics
 from tidemark.sources.envelopes import bronze_parse as parse
 from tidemark.sources.envelopes import decode_messages
 from tidemark.streaming.bronze import BronzeWriter, start_bronze
@@ -70,35 +71,56 @@ def bronze_parse(t: Tables):
     return spelled(parse(t.messages, F.col("timestamp")))
 
 
+# A message's bytes as the SQL side spells them
+DUCK_MESSAGE = """'{"$type":"' || CASE WHEN seq % 41 = 0 THEN 'info' ELSE 'message' END || '","payload":{'
+    || coalesce('"record":' || record || ',', '') || '"seq":' || seq || ',"did":"' || did
+    || '","collection":"' || collection || '","operation":"' || operation || '","rkey":"' || rkey
+    || '","rev":"' || rev || '"' || coalesce(',"cid":"' || cid || '"', '') || ',"time":"'
+    || CASE WHEN seq % 43 = 0 THEN 'not a time' ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END || '"}}'"""
+
+
 @query(
     "kafka_source",
-    """SELECT kafka_partition::BIGINT AS partition, count(*) AS messages,
-        count(DISTINCT kafka_offset) AS offsets, min(kafka_offset) AS first_offset
-    FROM bronze AS b WHERE kafka_partition != 0 OR kafka_offset >= (
-        SELECT max(kafka_offset) // 2 FROM bronze WHERE kafka_partition = 0)
-    GROUP BY 1""",
-    "bronze",
+    f"""SELECT kafka_partition::BIGINT AS partition, kafka_offset AS "offset", processed_at AS "timestamp",
+        {DUCK_MESSAGE} AS value, true AS within_cap, true AS in_turn
+    FROM once, (SELECT max(kafka_offset) AS top, max(kafka_offset) // 8 + 1 AS size FROM once)
+    WHERE CASE kafka_partition WHEN 0 THEN kafka_offset >= top // 2 WHEN 1 THEN kafka_offset >= 2 * size ELSE true END""",
+    "once",
 )
 def kafka_source(t: Tables):
-    """The messages streamed from their start offsets, file by file."""
+    """A topic streamed from a start of each partition, one of them expired, so many messages a
+    batch at the most; the stream is stopped where the log ends, and started again with the messages
+    written since. Every message, and whether its batch kept to the cap and to the order."""
     folder = scratch_path(t.spark, "topic")
-    t.messages.drop("commit_id").write.parquet(f"{folder}/messages")
-    half = t.messages.where("partition = 0").agg(F.floor(F.max("offset") / 2)).first()[0]
-    stream = topics.read_message_files(t.spark, f"{folder}/messages", {0: half})
-    (
-        stream.select("partition", "offset")
-        .writeStream.format("parquet")
-        .option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+    log, checkpoint = f"{folder}/log", f"{folder}/checkpoint"
+    messages = t.messages.groupBy("partition", "offset").agg(
+        F.min_by("value", "timestamp").alias("value"), F.min("timestamp").alias("timestamp")
     )
+    top, n = messages.agg(F.max("offset"), F.count(F.lit(1))).first()
+    size, cap = top // 8 + 1, n // 5
+    early = F.col("offset") < top * 3 // 5
+    for number, part in enumerate((early, ~early)):
+        message_log.write_log(messages.where(part), log, size)
+        if number == 0:
+            message_log.drop_segments(log, {1: 2 * size})
+        stream = message_log.read_message_log(t.spark, log, checkpoint, {0: top // 2, 1: 7}, max_offsets=cap)
+        query = stream.writeStream.foreachBatch(
+            lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
+        )
+        running = query.option("checkpointLocation", checkpoint).start()
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
     out = t.spark.read.parquet(f"{folder}/out")
-    return out.groupBy("partition").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count_distinct("offset").alias("offsets"),
-        F.min("offset").alias("first_offset"),
+    sizes = out.groupBy("batch").agg((F.count(F.lit(1)) <= cap).alias("within_cap"))
+    # Offsets of a partition only grow from batch to batch
+    ends = out.groupBy("partition", "batch").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    before = F.lag("high").over(Window.partitionBy("partition").orderBy("batch"))
+    turns = ends.select("partition", "batch", (F.coalesce(before, F.lit(-1)) < F.col("low")).alias("in_turn"))
+    spelled_value = F.replace(F.col("value").cast("string"), F.lit("⛅"), F.lit("\\u26c5"))
+    return out.join(sizes, "batch").join(turns, ["partition", "batch"]).select(
+        "partition", "offset", "timestamp", spelled_value.alias("value"), "within_cap", "in_turn"
     )
 
 
@@ -170,7 +192,7 @@ def replace_hours_sink(t: Tables):
     tables.replace_hours(model({"silver_posts": early}), path)
     late = typed(t.bronze.where("commit_id > 4"))
     hours = inc.touched_hours([late])
-    whole = inc.in_hours(dedup_batch(typed(t.bronze)), hours)
+    whole = in_hours(dedup_batch(typed(t.bronze)), hours)
     tables.replace_hours(model({"silver_posts": whole}), path)
     schema = GOLD_SCHEMAS["gold_hashtags_hour"]
     return tables.read_hours(t.spark, path, schema).select("hour", "hashtag", "posts", "rank")
@@ -432,29 +454,59 @@ def rebuild_hours(t: Tables):
 # --- Maintenance ---
 
 
+TOKYO = timezone(timedelta(hours=9))
+
+
 @query(
     "retention_delete",
-    f"SELECT {DUCK_BRONZE}, commit_id FROM bronze WHERE event_time >= TIMESTAMP '2024-01-13'",
-    "bronze",
+    f"""SELECT 'bronze' AS kind, commit_id, seq AS number, event_time AS at FROM bronze
+        WHERE event_time >= TIMESTAMP '2024-01-13'
+    UNION ALL SELECT 'gold', NULL, posts, hour FROM gold_langs_hour WHERE hour >= TIMESTAMP '2024-01-13'
+    UNION ALL SELECT 'merged day', NULL, 5, day FROM (SELECT CAST(event_time AS DATE) AS day FROM bronze
+        WHERE commit_id <= 5 AND event_time >= TIMESTAMP '2024-01-13' GROUP BY 1 HAVING count(DISTINCT commit_id) > 1)
+    UNION ALL SELECT 'commit', commit_id, count(*), NULL FROM bronze GROUP BY commit_id""",
+    "bronze gold_langs_hour",
 )
 def retention_delete(t: Tables):
-    table = stored(t, "retention")
-    maintenance.drop_expired_days(table, datetime(2024, 1, 20, 12, 30), 7)
-    return spelled(table.read(), "commit_id")
+    """Bronze by day, Gold by hour and the log of merges, at eight in the morning of Tokyo, where
+    UTC has not reached that day: what is left, and the commits' counts, which stay."""
+    table, hours = stored(t, "retention"), scratch_path(t.spark, "retention-gold")
+    now = datetime(2024, 1, 21, 8, 0, tzinfo=TOKYO)
+    silver = {"silver_posts": dedup_batch(SILVER["silver_posts"](t.bronze))}
+    tables.replace_hours(GOLD["gold_langs_hour"](silver), hours)
+    maintenance.compact_commits(table, 5)
+    maintenance.drop_expired_days(table, now, 7)
+    maintenance.drop_expired_hours(t.spark, hours, now, 7)
+    none = F.lit(None).cast("bigint")
+    bronze = table.read().select(F.lit("bronze").alias("kind"), "commit_id", F.col("seq").alias("number"), F.col("event_time").alias("at"))
+    gold = tables.read_hours(t.spark, hours, GOLD_SCHEMAS["gold_langs_hour"])
+    lines = [{"kind": "merged day", "number": m.up_to, "day": day} for day, m in table.merges()[1].items()]
+    merged = tables.lines_frame(t.spark, lines, c.schema(kind="string", number="bigint", day="string"))
+    listed = table.commits()
+    return (
+        bronze.unionByName(gold.select(F.lit("gold").alias("kind"), none.alias("commit_id"), F.col("posts").alias("number"), F.col("hour").alias("at")))
+        .unionByName(merged.select("kind", none.alias("commit_id"), "number", F.col("day").cast("timestamp").alias("at")))
+        .unionByName(listed.select(F.lit("commit").alias("kind"), "commit_id", F.col("added_rows").alias("number"), F.lit(None).cast("timestamp").alias("at")))
+    )
 
 
 @query(
     "trim_progress",
     """SELECT model, commit_id AS position, done, committed_at AS recorded_at FROM positions
     WHERE committed_at >= TIMESTAMP '2024-01-25' OR (model, committed_at) IN (
-        SELECT (model, max(committed_at)) FROM positions WHERE done GROUP BY model)""",
+        SELECT (model, max(committed_at)) FROM positions WHERE done GROUP BY model)
+        OR commit_id = (SELECT max(commit_id) FROM positions)""",
     "positions",
 )
 def trim_progress(t: Tables):
-    progress = positions(t).select(
-        "model", F.col("commit_id").alias("position"), "done", F.col("committed_at").alias("recorded_at")
-    )
-    return maintenance.trim_positions(progress, ["model"], datetime(2024, 1, 25))
+    """The stored positions of readers that went on commit by commit, trimmed in place."""
+    pipeline = inc.Pipeline(t.spark, scratch_path(t.spark, "positions"))
+    found = positions(t).withColumn("at", F.unix_micros("committed_at")).orderBy("commit_id", "model").collect()
+    for row in found:
+        line = {"model": row["model"], "input": "bronze", "position": row["commit_id"], "done": row["done"]}
+        pipeline.progress.append([line | {"recorded_at": row["at"]}], row["commit_id"])
+    pipeline.trim_progress(datetime(2024, 1, 25))
+    return pipeline.progress.read().select("model", "position", "done", "recorded_at")
 
 
 CTES["positions"] = (
@@ -509,14 +561,21 @@ def stale_readers(t: Tables):
 
 @query("compact_day", f"SELECT {DUCK_BRONZE}, commit_id FROM bronze", "bronze")
 def compact_day(t: Tables):
-    """Commits up to the fifth merged and their folders dropped, then the fifth and the second
-    written again by a stream that crashed before: every row is there once."""
-    table = stored(t, "compact")
-    maintenance.compact_commits(table, 5)
+    """Commits up to the fifth merged and their folders dropped while the sixth stands half written;
+    then the fifth, the second and the rest written by a stream that crashed before, and all merged
+    again: every row is there once."""
+    table = bronze_table(t, "compact")
+    listed = dict(commits(t))
+    for commit in range(1, 6):
+        table.append(listed[commit], commit)
+    half = listed[6].where("seq % 2 = 0").withColumn(tables.DAY, F.to_date("event_time"))
+    half.select(*c.BRONZE_COLUMNS, tables.DAY).write.partitionBy(tables.DAY).parquet(f"{table.path}/commit_id=6")
+    maintenance.compact_commits(table, COMMITS)
+    maintenance.drop_merged(table)
+    for commit in (2, 5, *range(6, COMMITS + 1)):
+        table.append(listed[commit], commit)
+    maintenance.compact_commits(table, COMMITS)
     maintenance.drop_merged(table)
-    for commit, rows in commits(t):
-        if commit in (2, 5):
-            table.append(rows, commit)
     return spelled(table.read(), "commit_id")
 
 

@@ -143,9 +143,11 @@ def test_a_slice_is_frozen_once(spark, scratch):
         topics.freeze_slice(frame, scratch("empty"), start + timedelta(days=1), 5)
     # A copy that failed leaves nothing behind, and the next one succeeds
     again = scratch("short")
+    spark.range(3).write.parquet(f"{again}/beside")
     with pytest.raises(topics.SliceError):
         topics.freeze_slice(frame, again, start, 5, expected=11)
     assert topics.freeze_slice(frame, again, start, 5, expected=10).count() == 10
+    assert spark.read.parquet(f"{again}/beside").count() == 3
 
 
 def test_a_slice_starts_at_utc_whatever_the_drivers_zone(spark, scratch, monkeypatch):

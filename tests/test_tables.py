@@ -1,5 +1,5 @@
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +86,68 @@ def test_only_the_hours_written_are_replaced(spark, scratch):
     assert sorted(r["n"] for r in found) == [3, 9]
 
 
+HOURS = c.schema(hour="timestamp", n="bigint")
+
+
+def hours_of(spark, *pairs):
+    frame = spark.createDataFrame(list(pairs), "t string, n bigint")
+    return frame.select(F.col("t").cast("timestamp").alias("hour"), "n")
+
+
+def test_hours_switch_at_once(spark, scratch, monkeypatch):
+    path = scratch("gold")
+    old = hours_of(spark, ("2026-10-01 10:00:00", 1), ("2026-10-01 11:00:00", 2), ("2026-10-01 12:00:00", 3))
+    new = hours_of(spark, ("2026-10-01 10:00:00", 7), ("2026-10-01 11:00:00", 8))
+    tables.replace_hours(old, path)
+
+    def values():
+        return sorted(r["n"] for r in tables.read_hours(spark, path, HOURS).collect())
+
+    def crash(*_):
+        raise RuntimeError("node lost")
+
+    # Everything is written, the line is not
+    with monkeypatch.context() as patched:
+        patched.setattr(tables.LineLog, "write", crash)
+        with pytest.raises(RuntimeError):
+            tables.replace_hours(new, path)
+    assert values() == [1, 2, 3]
+
+    # The job dies while it writes: one hour has its file, the other has not
+    broken = new.withColumn("n", F.when(F.hour("hour") == 11, F.raise_error(F.lit("killed"))).otherwise(F.col("n")).cast("bigint"))
+    with pytest.raises(Exception, match="killed"):
+        tables.replace_hours(broken, path)
+    assert values() == [1, 2, 3]
+    tables.replace_hours(new, path)
+    assert values() == [3, 7, 8]
+
+
+def test_an_hour_rebuilt_to_nothing_is_empty(spark, scratch):
+    path = scratch("gold")
+    tables.replace_hours(hours_of(spark, ("2026-10-01 10:00:00", 1), ("2026-10-01 11:00:00", 2)), path)
+    nothing = hours_of(spark, ("2026-10-01 10:00:00", 1)).where("false")
+    tables.replace_hours(nothing, path, keys=["2026-10-01-11"])
+    assert [r["n"] for r in tables.read_hours(spark, path, HOURS).collect()] == [1]
+    table = tables.hour_table(spark, path)
+    assert table.drop_replaced() == 1 and table.drop_replaced() == 0
+    assert [r["n"] for r in tables.read_hours(spark, path, HOURS).collect()] == [1]
+    tables.replace_hours(hours_of(spark, ("2026-10-01 11:00:00", 5)), path)
+    assert sorted(r["n"] for r in tables.read_hours(spark, path, HOURS).collect()) == [1, 5]
+
+
+def test_hours_prune_generations(spark, scratch, monkeypatch):
+    path = scratch("gold")
+    monkeypatch.setattr(tables, "FOLD", 6)
+    for n in range(tables.FOLD + 3):
+        tables.replace_hours(hours_of(spark, ("2026-10-01 10:00:00", n), (f"2026-10-02 {n % 5:02d}:00:00", n)), path)
+    found = tables.read_hours(spark, path, HOURS).where("hour_key = '2026-10-01-10'")
+    assert [r["n"] for r in found.collect()] == [tables.FOLD + 2]
+    # One of all the files written under this hour is opened: the filter is on partition columns
+    filters = found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "generation" in filters and "hour_key" in filters
+    assert len(tables.hour_table(spark, path).log.listing()[2]) < tables.FOLD
+
+
 def test_retention_drops_whole_days_at_midnight(table):
     now = datetime(2026, 10, 9, 15, 30)
     assert maintenance.retention_cutoff(now, 7) == datetime(2026, 10, 2)
@@ -106,6 +168,92 @@ def test_time_column_is_the_first_present():
         maintenance.time_column(["day"])
 
 
+def test_the_cutoff_is_the_utc_midnight_of_any_zone():
+    tokyo = timezone(timedelta(hours=9))
+    assert maintenance.retention_cutoff(datetime(2024, 1, 21, 8, 0, tzinfo=tokyo), 7) == datetime(2024, 1, 13)
+    assert maintenance.retention_cutoff(datetime(2024, 1, 21, 9, 0, tzinfo=tokyo), 7) == datetime(2024, 1, 14)
+    assert maintenance.retention_cutoff(datetime(2024, 1, 20, 23, 0), 7) == datetime(2024, 1, 13)
+
+
+def half_written(spark, table, commit_id, *pairs):
+    """A commit whose writer died before its line."""
+    found = rows(spark, *pairs).withColumn("event_day", F.to_date("event_time"))
+    found.write.partitionBy("event_day").parquet(f"{table.path}/commit_id={commit_id}")
+
+
+def test_half_a_commit_is_never_read(spark, table):
+    half_written(spark, table, 4, (6, "2026-10-02 13:00:00"))
+    assert seqs(table.read()) == seqs(table.as_of(9)) == [1, 2, 3, 4, 5] and table.current() == 3
+    assert seqs(table.appended(3, 4)) == []
+    table.append(rows(spark, (6, "2026-10-02 13:00:00"), (7, "2026-10-02 14:00:00")), 4)
+    assert seqs(table.appended(3, 4)) == [6, 7]
+
+
+def test_half_a_commit_is_never_merged(spark, table):
+    half_written(spark, table, 4, (6, "2026-10-02 13:00:00"))
+    assert maintenance.compact_commits(table, 9) == 2
+    maintenance.drop_merged(table)
+    table.append(rows(spark, (6, "2026-10-02 13:00:00"), (7, "2026-10-01 14:00:00")), 4)
+    assert seqs(table.read()) == [1, 2, 3, 4, 5, 6, 7]
+    assert maintenance.compact_commits(table, 9) == 2 and seqs(table.read()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+@pytest.mark.parametrize(
+    "sizes, bins", [([5, 5, 5], [0, 0, 1]), ([9, 6, 4, 1], [0, 1, 1, 0]), ([20, 3], [0, 1]), ([], []), ([1], [0])]
+)
+def test_first_fit_decreasing(sizes, bins):
+    assert maintenance.first_fit(sizes, 10) == bins
+
+
+def merged_files(spark, table):
+    found = maintenance.list_objects(spark, f"{table.path}_merged").where("key LIKE '%.parquet'")
+    return {r["key"]: r["size"] for r in found.collect()}
+
+
+def test_full_files_are_written_once_and_large_commits_stay(spark, scratch):
+    table = tables.CommitTable(spark, scratch("bins"), SCHEMA)
+
+    def commit(number, n):
+        day = F.lit("2026-10-01").cast("timestamp")
+        seq = (F.rand(number) * 2**40).cast("bigint")
+        table.append(spark.range(n, numPartitions=1).select(seq.alias("seq"), day.alias("event_time")), number)
+
+    for number, n in enumerate((20_000, 3000, 3000, 3000), 1):
+        commit(number, n)
+    target = 70_000
+    before = seqs(table.read())
+    assert maintenance.compact_commits(table, 4, target_bytes=target) == 1
+    first = merged_files(spark, table)
+    segment, days = table.merges()
+    assert segment == 1 and days["2026-10-01"].stay == (1,) and seqs(table.read()) == before
+    maintenance.drop_merged(table)
+    assert [p.rsplit("=", 1)[1] for p in tables.partition_folders(spark, table.path)] == ["1"]
+    full = {k for k in first if "part=full" in k}
+    assert full and all(first[k] > 0.7 * target for k in full)
+    for number in (5, 6, 7):
+        commit(number, 1500)
+    before = seqs(table.read())
+    assert maintenance.compact_commits(table, 7, target_bytes=target) == 1
+    again = merged_files(spark, table)
+    assert full <= set(again) and table.merges()[1]["2026-10-01"].stay == (1,)
+    assert seqs(table.read()) == before and seqs(table.as_of(4)) != before
+    maintenance.drop_merged(table)
+    assert seqs(table.read()) == before and full <= set(merged_files(spark, table))
+    # Nothing small is left over but one rest: nothing to merge
+    assert maintenance.compact_commits(table, 7, target_bytes=target) == 0
+
+
+def test_retention_trims_the_logs(spark, table):
+    maintenance.compact_commits(table, 3)
+    assert set(table.merges()[1]) == {"2026-10-01", "2026-10-02"}
+    assert maintenance.drop_expired_days(table, datetime(2026, 10, 9, 15, 30), 7) == 2
+    assert set(table.merges()[1]) == {"2026-10-02"} and seqs(table.read()) == [2, 3, 5]
+    assert maintenance.drop_expired_days(table, datetime(2026, 10, 11), 7) == 3 and seqs(table.read()) == []
+    table.append(rows(spark, (8, "2026-10-12 10:00:00")), 4)
+    table.append(rows(spark, (9, "2026-10-12 10:00:00")), 5)
+    assert maintenance.compact_commits(table, 5) == 1 and seqs(table.read()) == [8, 9]
+
+
 def test_compaction_keeps_every_row_and_every_reader(table):
     before = seqs(table.read())
     # The second of October is in two commits, the first in one: nothing to merge there
@@ -164,10 +312,10 @@ def test_a_compaction_that_stopped_half_way_changes_nothing(table, monkeypatch):
         raise RuntimeError("node lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(maintenance.F, "explode", crash)
+        patched.setattr(table.merge_log, "write", crash)
         with pytest.raises(RuntimeError):
             maintenance.compact_commits(table, 3)
-    assert seqs(table.read()) == [1, 2, 3, 4, 5] and not table.merges()
+    assert seqs(table.read()) == [1, 2, 3, 4, 5] and table.merges() == (0, {})
     assert maintenance.compact_commits(table, 3) == 2
     assert seqs(table.read()) == [1, 2, 3, 4, 5]
 
@@ -187,6 +335,9 @@ def test_retention_of_hours(spark, scratch):
     tables.replace_hours(frame, path)
     assert maintenance.drop_expired_hours(spark, path, datetime(2026, 11, 1, 8), 30) == 1
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    assert maintenance.drop_expired_hours(spark, path, datetime(2026, 11, 1, 8), 30) == 0
+    schema = c.schema(hour="timestamp", id="bigint")
+    assert sorted(r["id"] for r in tables.read_hours(spark, path, schema).collect()) == [1, 2, 3]
 
 
 def test_naive_moments_are_utc_in_any_zone(spark, table, monkeypatch):

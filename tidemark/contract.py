@@ -61,7 +61,6 @@ TIME_COLUMNS = ("event_time", "minute", "hour")
 
 # Hashtags kept an hour, and the thresholds of benchmark windows
 TOP_HASHTAGS = 50
-
 WINDOW_SECONDS = 300
 MAX_SAMPLE_GAP_SECONDS = 30
 MIN_COVERAGE = 0.9

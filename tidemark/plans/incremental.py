@@ -1,11 +1,13 @@
 """Incremental Silver and Gold: read what was appended since, rebuild the hours it touches.
 
-State lives in small append-only tables. A position is staged before a model's write and
+State lives in small logs of lines. A position is staged before a model's write and
 marked done after it. A crash in between reads the same commits again: Silver drops the
 events it already has, Gold rebuilds an hour that was already right."""
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,18 +17,20 @@ from pyspark.sql import types as T
 from tidemark import contract as c
 from tidemark.operators.dedup import dedup_batch, not_yet_in
 from tidemark.operators.filters import hour_ranges_filter
-from tidemark.operators.ranking import hour_islands, oldest_hours
 from tidemark.operators.sets import union_all
 from tidemark.plans.gold import GOLD, GOLD_INPUTS, GOLD_SCHEMAS
 from tidemark.plans.silver import SILVER, SILVER_SCHEMAS, SNAPSHOT
+from tidemark.sources.logs import FOLD, Line, LineLog
 from tidemark.sources.tables import (
     COMMIT,
+    HOUR_MICROS,
     CommitTable,
-    partition_folders,
+    hour_keys,
+    lines_frame,
+    now_micros,
     read_hours,
-    read_parts,
     replace_hours,
-    time_bounds,
+    spelled_time,
 )
 
 PASS = "pass_id"
@@ -104,8 +108,13 @@ def first_touch_cap(touched: DataFrame, max_hours: int) -> DataFrame:
 
 # --- State tables -----------------------------------------------------------------------
 
+Row = dict[str, Any]
+
 PROGRESS_SCHEMA = c.schema(model="string", input="string", position="bigint", done="boolean", recorded_at="timestamp")
 PENDING_SCHEMA = c.schema(model="string", hour="timestamp", pending="boolean")
+BACKLOG_SCHEMA = T.StructType(
+    [*c.schema(silver_rows="bigint", gold_hours="bigint"), T.StructField("positions", T.MapType(T.StringType(), T.LongType()))]
+)
 
 
 def last_positions(progress: DataFrame, keys: Sequence[str] = ("model", "input")) -> DataFrame:
@@ -140,27 +149,65 @@ def still_pending(log: DataFrame) -> DataFrame:
     )
 
 
-class StateTable:
-    """A small table appended to in numbered passes, one folder each.
-
-    A pass is appended under a number no folder has, so nothing is ever rewritten."""
+class StateLog:
+    """Rows of a small state in numbered passes, a line of a log each time; kept in the head as
+    far as `kept` finds them of use. Rows are plain values, times are microseconds."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        kept: Callable[[Sequence[Row]], list[Row]],
+    ) -> None:
         self.spark = spark
-        self.path = path
-        self.schema = schema
+        self.log = LineLog(spark, path)
+        self.schema = T.StructType([*schema, T.StructField(PASS, T.LongType())])
+        self.kept = kept
+
+    def rows(self) -> list[Row]:
+        """All rows still held, in order of writing."""
+        return held_rows(*self.log.read())
 
     def read(self) -> DataFrame:
-        stored = T.StructType([*self.schema.fields, T.StructField(PASS, T.LongType())])
-        return read_parts(self.spark, self.path, stored)
+        return lines_frame(self.spark, self.rows(), self.schema)
 
     def last_pass(self) -> int:
-        folders = partition_folders(self.spark, self.path)
-        return max((int(folder.rsplit("=", 1)[1]) for folder in folders), default=0)
+        return max((row[PASS] for row in self.rows()), default=0)
+
+    def append(self, rows: Sequence[Row], pass_id: int) -> None:
+        if rows:
+            line = {"rows": [{**row, PASS: pass_id} for row in rows]}
+            if self.log.append(line) >= FOLD:
+                self.trim(self.kept)
+
+    def trim(self, kept: Callable[[Sequence[Row]], list[Row]]) -> None:
+        """Keep only the rows that `kept` finds, in one head."""
+        self.log.fold(lambda head, lines: {"rows": kept(held_rows(head, lines))})
+
+
+def held_rows(head: Line, lines: Mapping[int, Line]) -> list[Row]:
+    return [*head.get("rows", []), *(row for line in lines.values() for row in line["rows"])]
+
+
+def kept_positions(rows: Sequence[Row], since: int | None = None) -> list[Row]:
+    """The last done position of every reader, what the last pass staged, and what was recorded
+    from `since` (microseconds) on."""
+    last_pass = max((row[PASS] for row in rows), default=0)
+    last = {(row["model"], row["input"]): at for at, row in enumerate(rows) if row["done"]}
+    return [
+        row
+        for at, row in enumerate(rows)
+        if row[PASS] == last_pass
+        or last.get((row["model"], row["input"])) == at
+        or (since is not None and row["recorded_at"] >= since)
+    ]
 
-    def append(self, rows: DataFrame, pass_id: int) -> None:
-        out = rows.select(*self.schema.fieldNames()).coalesce(1)
-        out.write.mode("append").parquet(f"{self.path}/{PASS}={pass_id}")
+
+def kept_hours(rows: Sequence[Row]) -> list[Row]:
+    """The hours still pending, and one row of the last pass."""
+    last = {(row["model"], row["hour"]): row for row in rows}
+    return [row for row in last.values() if row["pending"]] + list(rows[-1:])
 
 
 # --- Backlog ----------------------------------------------------------------------------
@@ -225,43 +272,40 @@ class Pipeline:
             for name, schema in SILVER_SCHEMAS.items()
             if name in self.silver_models
         }
-        self.progress = StateTable(spark, f"{root}/meta/progress", PROGRESS_SCHEMA)
-        self.pending = StateTable(spark, f"{root}/meta/pending", PENDING_SCHEMA)
+        self.progress = StateLog(spark, f"{root}/meta/progress", PROGRESS_SCHEMA, kept_positions)
+        self.pending = StateLog(spark, f"{root}/meta/pending", PENDING_SCHEMA, kept_hours)
 
     # Positions
 
     def _positions(self) -> dict[tuple[str, str], int]:
         """Last done position by (model, input): one row per reader."""
-        rows = last_positions(self.progress.read()).collect()
-        return {(row["model"], row["input"]): row["position"] for row in rows}
+        return {(r["model"], r["input"]): r["position"] for r in self.progress.rows() if r["done"]}
 
     def stage_positions(self, positions: Mapping[str, Mapping[str, int]], pass_id: int) -> None:
         """Record how far a pass is about to read, by model and input; a position counts
         once its model is marked done."""
         rows = [
-            F.struct(
-                F.lit(model).alias("model"),
-                F.lit(name).alias("input"),
-                F.lit(position).cast("bigint").alias("position"),
-                F.lit(False).alias("done"),
-                F.current_timestamp().alias("recorded_at"),
-            )
+            {"model": model, "input": name, "position": position, "done": False, "recorded_at": now_micros()}
             for model, inputs in positions.items()
             for name, position in inputs.items()
         ]
-        if rows:
-            staged = self.spark.range(1).select(F.inline(F.array(*rows)))
-            self.progress.append(staged, pass_id)
+        self.progress.append(rows, pass_id)
 
     def mark_done(self, models: Sequence[str], pass_id: int) -> None:
         """The positions the pass staged become the models' own."""
-        if not models:
-            return
-        staged = self.progress.read().where(
-            (F.col(PASS) == pass_id) & F.col("model").isin(list(models)) & ~F.col("done")
-        )
-        done = staged.withColumn("done", F.lit(True))
-        self.progress.append(done.withColumn("recorded_at", F.current_timestamp()), pass_id)
+        staged = [
+            {**row, "done": True, "recorded_at": now_micros()}
+            for row in self.progress.rows()
+            if row[PASS] == pass_id and row["model"] in models and not row["done"]
+        ]
+        self.progress.append(staged, pass_id)
+
+    def trim_progress(self, since: datetime) -> None:
+        """Drop stored positions recorded before `since` (UTC without a zone), but for the last
+        done one of every reader and the last pass."""
+        zoned = since if since.tzinfo else since.replace(tzinfo=timezone.utc)
+        micros = int(zoned.timestamp()) * 1_000_000 + zoned.microsecond
+        self.progress.trim(lambda rows: kept_positions(rows, micros))
 
     # Silver
 
@@ -291,7 +335,8 @@ class Pipeline:
                 read_up_to[last] = self._read_up_to(last, current, max_rows)
             up_to = read_up_to[last]
             if (last, up_to) not in bounds:
-                bounds[last, up_to] = time_bounds(self.bronze.appended(last, up_to))
+                found = self.bronze.bounds("event_time", last, up_to)
+                bounds[last, up_to] = found and tuple(map(spelled_time, found))
             work[model] = (last, up_to, bounds[last, up_to])
         if not work:
             return 0
@@ -320,7 +365,7 @@ class Pipeline:
     def _read_up_to(self, last: int | None, current: int, max_rows: int | None) -> int:
         if max_rows is None:
             return current
-        listed = self.bronze.commits().where(F.col(COMMIT) <= current)
+        listed = self.bronze.commits(last).where(F.col(COMMIT) <= current)
         capped = capped_range(listed, max_rows, last).first()[0]
         return current if capped is None else capped
 
@@ -344,57 +389,51 @@ class Pipeline:
         pass_id = self.progress.last_pass() + 1
         current = {name: table.current() for name, table in self.silver.items()}
         inputs: dict[str, dict[str, int]] = {}
-        touched = []
+        touched, moved = [], {}
         for model in self.gold_models:
             known = {t: current[t] for t in GOLD_INPUTS[model] if current[t] is not None}
             last = {t: done.get((model, t)) for t in known}
             new = {t: n for t, n in known.items() if last[t] is None or last[t] < n}
             inputs[model] = known
             if new:
-                appended = [self.silver[t].appended(last[t], n) for t, n in new.items()]
-                touched.append(_pending(model, touched_hours(appended), True))
-        if touched:
-            self.pending.append(union_all(touched), pass_id)
-        self.stage_positions(inputs, pass_id)
-        waiting = self.pending_hours()
-        hours = {
-            model: oldest_hours(waiting.where(F.col("model") == model), max_hours)
-            for model in self.gold_models
-        }
+                # From the commits' lines: Silver is not read
+                hours = sorted({h for t, n in new.items() for h in self.silver[t].touched(last[t], n)})
+                touched += _pending(model, hours, True)
+                moved[model] = known
+        self.pending.append(touched, pass_id)
+        waiting = self.waiting_hours()
+        hours = {model: found[:max_hours] for model in self.gold_models if (found := waiting.get(model))}
+        # Models without anything to read or to rebuild leave no trace
+        self.stage_positions({m: k for m, k in inputs.items() if m in moved or m in hours}, pass_id)
         rebuilt = []
 
         def rebuild(model: str) -> None:
-            if self._rebuild(model, inputs[model], hours[model]):
+            if model in hours:
+                self._rebuild(model, inputs[model], hours[model])
                 rebuilt.append(model)
 
+        models = [m for m in self.gold_models if m in moved or m in hours]
         try:
-            self._each(list(self.gold_models), rebuild, pass_id)
+            if models:
+                self._each(models, rebuild, pass_id)
         finally:
-            if rebuilt:
-                cleared = [_pending(model, hours[model], False) for model in rebuilt]
-                self.pending.append(union_all(cleared), pass_id)
+            self.pending.append([row for m in rebuilt for row in _pending(m, hours[m], False)], pass_id)
         return len(rebuilt)
 
-    def _rebuild(self, model: str, inputs: Mapping[str, int], hours: DataFrame) -> bool:
+    def _rebuild(self, model: str, inputs: Mapping[str, int], hours: Sequence[int]) -> None:
         """Recompute whole hours from Silver as of the positions read, and replace them."""
-        ranges = hour_islands(hours).select(
-            F.col("range_start").cast("string"), F.col("range_end").cast("string")
-        )
-        # Pending hours grow with the time they cover, not with rows
-        listed = [tuple(r) for r in ranges.collect()]
-        if not listed:
-            return False
+        ranges = [(spelled_time(h * HOUR_MICROS)[:19], spelled_time((h + 1) * HOUR_MICROS)[:19]) for h in hours]
         silver = {}
         for name in GOLD_INPUTS[model]:
             table = self.silver[name]
             rows = table.as_of(inputs[name]) if name in inputs else table.read().where(F.lit(False))
-            silver[name] = hour_ranges_filter(rows, listed)
+            silver[name] = hour_ranges_filter(rows, ranges)
         snapshot = inputs.get(GOLD_INPUTS[model][0]) or 0
         rows = GOLD[model](silver).withColumn(
             "silver_snapshot_id", F.lit(snapshot).cast("bigint")
         )
-        replace_hours(rows, self.gold_path(model), gold_time(model))
-        return True
+        # An hour that has nothing any more is replaced by nothing
+        replace_hours(rows, self.gold_path(model), gold_time(model), hour_keys(hours))
 
     def gold_path(self, model: str) -> str:
         return f"{self.root}/gold/{model}"
@@ -403,6 +442,15 @@ class Pipeline:
         schema = GOLD_SCHEMAS[model]
         return read_hours(self.spark, self.gold_path(model), schema).select(*schema.fieldNames())
 
+    def waiting_hours(self) -> dict[str, list[int]]:
+        """The hours each model has to rebuild, oldest first: as many as the time they cover."""
+        last = {(row["model"], row["hour"]): row["pending"] for row in self.pending.rows()}
+        found: dict[str, list[int]] = {}
+        for (model, micros), pending in sorted(last.items()):
+            if pending:
+                found.setdefault(model, []).append(micros // HOUR_MICROS)
+        return found
+
     def pending_hours(self) -> DataFrame:
         return still_pending(self.pending.read())
 
@@ -410,17 +458,14 @@ class Pipeline:
 
     def backlog(self) -> DataFrame:
         """One row: rows Silver has not read (least advanced model), hours Gold has not rebuilt
-        (most loaded model), and the positions. From the logs, no data is read."""
+        (most loaded model), and the positions. From the heads of the logs and the lines beside
+        them: no data is read."""
         done = self._positions()
         positions = {model: done.get((model, "bronze")) for model in self.silver_models}
-        readers = self.spark.createDataFrame(list(positions.items()), "model string, position bigint")
-        behind = rows_behind(self.bronze.commits(), readers).agg(F.coalesce(F.max("behind"), F.lit(0)))
-        waiting = self.pending_hours().groupBy("model").count()
-        most = waiting.agg(F.coalesce(F.max("count"), F.lit(0)))
-        pairs = F.map_from_entries(F.collect_list(F.struct("model", "position")))
-        return readers.agg(pairs.alias("positions")).select(
-            behind.scalar().alias("silver_rows"), most.scalar().alias("gold_hours"), "positions"
-        )
+        least = None if None in positions.values() else min(positions.values(), default=None)
+        most = max(map(len, self.waiting_hours().values()), default=0)
+        line = {"silver_rows": self.bronze.rows_after(least), "gold_hours": most, "positions": positions}
+        return lines_frame(self.spark, [line], BACKLOG_SCHEMA)
 
     def catch_up(self, max_rows: int | None = None, max_hours: int | None = None) -> int:
         """Passes until everything that is in Bronze now has reached Gold; returns how many.
@@ -441,8 +486,8 @@ class Pipeline:
             before = after
 
 
-def _pending(model: str, hours: DataFrame, pending: bool) -> DataFrame:
-    return hours.select(F.lit(model).alias("model"), "hour", F.lit(pending).alias("pending"))
+def _pending(model: str, hours: Sequence[int], pending: bool) -> list[Row]:
+    return [{"model": model, "hour": h * HOUR_MICROS, "pending": pending} for h in hours]
 
 
 def gold_time(model: str) -> str:

@@ -1,9 +1,11 @@
 """Session settings the operators rely on, and the shared scratch folder."""
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -25,7 +27,33 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of an application, once: their tasks import it, from
+    whatever folder they run."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    folder = tempfile.mkdtemp(prefix="tidemark-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "tidemark.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(place, name)
+                    out.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -101,7 +101,7 @@ def freeze_slice(
     A path that holds a slice is refused (a frozen slice never changes). The copy keeps the
     messages' partition and is laid out by it. It is written aside, counted there against
     `expected` where given, and else against what the write itself saw, and becomes the slice when
-    its mark is written; a copy that failed is dropped. A start without a zone is UTC."""
+    its mark is written; a copy that failed is dropped, and nothing else below the path. A start without a zone is UTC."""
     spark, mark = messages.sparkSession, f"{path}/slice_mark"
     if path_exists(spark, mark):
         raise FileExistsError(f"{path} holds a frozen slice")
@@ -117,7 +117,7 @@ def freeze_slice(
     copied = frozen.count()
     wanted = seen.get.get("n", 0) if expected is None else expected
     if copied == 0 or copied != wanted:
-        delete_path(spark, path)
+        delete_path(spark, f"{path}/messages")
         raise SliceError(f"copied {copied} messages between {start} and {end}, expected {wanted}")
     spark.range(1).write.parquet(mark)
     return frozen
