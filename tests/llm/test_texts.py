@@ -1,5 +1,6 @@
 """Language, secrets, fingerprints, near duplicates, decontamination and repeats of odd documents."""
 
+import hashlib
 import collections
 import re
 import random
@@ -173,7 +174,7 @@ def test_fingerprints_of_repeated_rows_and_of_nothing(spark):
 
 # near duplicates
 
-def brute_classes(spark, rows):
+def brute_roots(spark, rows) -> list[int]:
     docs = frame(spark, rows)
     known = neardup.frequent_words(docs, len(rows))
     vector = [neardup.weighted_shingles(*neardup.text_bytes(pa.array([r[1] or ""])), known)[0] for r in rows]
@@ -189,11 +190,15 @@ def brute_classes(spark, rows):
             same = rows[i][1] and rows[i][1] == rows[j][1] or rows[i][0] == rows[j][0] and not rows[i][1] and not rows[j][1]
             if same or neardup.similarity(vector[i], vector[j]) >= neardup.SIMILAR:
                 parent[find(i)] = find(j)
-    lows = {}
-    for i, r in enumerate(rows):
+    return [find(i) for i in range(len(rows))]
+
+
+def brute_classes(spark, rows):
+    roots, lows = brute_roots(spark, rows), {}
+    for root, r in zip(roots, rows, strict=True):
         k = neardup.NO_ID if r[0] is None else r[0]
-        lows[find(i)] = min(lows.get(find(i), k), k)
-    return sorted(((r[0], None if (low := lows[find(i)]) == neardup.NO_ID else low) for i, r in enumerate(rows)), key=repr)
+        lows[root] = min(lows.get(root, k), k)
+    return sorted(((r[0], None if (low := lows[root]) == neardup.NO_ID else low) for root, r in zip(roots, rows, strict=True)), key=repr)
 
 
 def near_rows():
@@ -214,11 +219,13 @@ def test_one_row_of_each_class_stays(spark):
     docs = frame(spark, rows, clash=True)
     kept = neardup.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    classes = {}
-    for doc_id, low in brute_classes(spark, rows):
-        classes.setdefault((low, doc_id is None and low is None), doc_id)
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({low for _, low in brute_classes(spark, rows) if low is not None})
+    heads = {}
+    for root, (doc_id, text, *_) in zip(brute_roots(spark, rows), rows, strict=True):
+        k = neardup.NO_ID if doc_id is None else doc_id
+        key = (k, hashlib.md5(text.encode()).hexdigest() if text else f"empty {k}")
+        heads[root] = min(heads.get(root, (key, None)), (key, (doc_id, text or "")), key=lambda h: h[0])
+    want = sorted((h[1] for h in heads.values()), key=repr)
+    assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=repr) == want
 
 
 def test_classes_that_share_their_least_id_each_keep_a_row(spark):
