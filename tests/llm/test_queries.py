@@ -21,8 +21,9 @@ from tidemark.llm import bpe, langid, neardup, secrets  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = ("op1_warc op2_secrets op3_sharding op4_near_duplicates op5_packed_ids op6_repeats op7_language"
-         " op8_fingerprints op9_decontamination op10_byte_bpe pipeline").split()
-WITH_SQL = ("op1_warc", "op6_repeats", "op9_decontamination")
+         " op8_fingerprints op9_decontamination op10_byte_bpe op11_prefix_trie op12_licenses op13_fill_in_middle"
+         " pipeline").split()
+WITH_SQL = ("op1_warc", "op6_repeats", "op9_decontamination", "op11_prefix_trie", "op12_licenses", "op13_fill_in_middle")
 
 
 def test_queries_are_registered():
@@ -33,7 +34,7 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", WITH_SQL)
 def test_queries_agree_with_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     got, want = entry.queries()[name](spark, FOLDER).toPandas(), con.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)

@@ -1,7 +1,7 @@
 """Language, secrets, fingerprints, near duplicates, decontamination and repeats of odd documents."""
 
-import hashlib
 import collections
+import hashlib
 import re
 import random
 
@@ -223,7 +223,8 @@ def test_one_row_of_each_class_stays(spark):
     for root, (doc_id, text, *_) in zip(brute_roots(spark, rows), rows, strict=True):
         k = neardup.NO_ID if doc_id is None else doc_id
         key = (k, hashlib.md5(text.encode()).hexdigest() if text else f"empty {k}")
-        heads[root] = min(heads.get(root, (key, None)), (key, (doc_id, text or "")), key=lambda h: h[0])
+        row = (key, (doc_id, text or ""))
+        heads[root] = min(heads.get(root, row), row, key=lambda h: h[0])
     want = sorted((h[1] for h in heads.values()), key=repr)
     assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=repr) == want
 
