@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogue.medallion import silver_tables
-from catalogue.registry import Tables, query
+from catalogue.registry import ORACLES, Tables, query
 from catalogue.relational import cost_points
 from catalogue.shape import CTES, over
 from tidemark import contract as c
 from tidemark.operators import checks, messages, ranking, ratios, usage
+from tidemark.operators.intervals import RunStore, completeness_of_runs
+from tidemark.operators.parity import checksum_parity
 from tidemark.operators.parity import parity as compare
 from tidemark.operators.sets import union_all
 from tidemark.plans import benchmark_day as bench
 from tidemark.plans.gold import GOLD
+from tidemark.plans.silver import SILVER_SCHEMAS
 from tidemark.session import scratch_path
-from tidemark.sources.tables import utc
+from tidemark.sources.tables import CommitTable, utc
 from tidemark.sources.topics import within_offsets
 
 # The events are minutes apart where samples are seconds apart
@@ -1000,6 +1003,10 @@ def completeness(t: Tables):
 )
 def parity(t: Tables):
     """Against a copy without likes of nothing, with reversed lists and one label changed."""
+    return compare(*parity_sides(t))
+
+
+def parity_sides(t: Tables) -> tuple[dict, dict]:
     silver = silver_tables(t)
     langs = GOLD["gold_langs_hour"](silver)
     a = {**{n: silver[n] for n in ("silver_likes", "silver_posts")}, "gold_langs_hour": langs}
@@ -1009,7 +1016,50 @@ def parity(t: Tables):
         "silver_posts": silver["silver_posts"].withColumn("hashtags", F.reverse("hashtags")),
         "gold_langs_hour": langs.withColumn("lang", other),
     }
-    return compare(a, b)
+    return a, b
+
+
+@query("parity_checksums", ORACLES["parity"].sql, "silver_likes silver_posts gold_langs_hour")
+def parity_checksums(t: Tables):
+    """The same comparison by sums of row hashes, and of rows only where sums differ."""
+    a, b = parity_sides(t)
+    return union_all([checksum_parity(name, a[name], b[name]) for name in a])
+
+
+@query("completeness_runs", ORACLES["completeness"].sql, "bounds")
+def completeness_runs(t: Tables):
+    """The same figures from runs of offsets, kept commit by commit: the second check reads what was
+    appended since the first, the third nothing."""
+    from catalogue.relational import bounds
+
+    table = CommitTable(t.spark, scratch_path(t.spark, "offsets"), c.BRONZE_SCHEMA)
+    store = RunStore(t.spark, scratch_path(t.spark, "runs"))
+    rows = t.bronze.where("operation != 'update'")
+    for first, last in ((1, 3), (4, 6), (7, 8)):
+        table.append(rows.where(F.col("commit_id").between(first, last)), last)
+        store.update(table)
+    store.merge()
+    return completeness_of_runs(store.read(), bounds(t))
+
+
+@query("check_silver_recent", ORACLES["check_silver_matches_bronze"].sql, "bronze")
+def check_silver_recent(t: Tables):
+    """The check of recent events over stored tables, whose logs say which hours to read."""
+    silver = silver_tables_upto(t, 6)
+    silver["silver_posts"] = silver["silver_posts"].where("operation = 'create'")
+    silver["silver_likes"] = silver_tables(t)["silver_likes"]
+    root = scratch_path(t.spark, "recent")
+    bronze = CommitTable(t.spark, f"{root}/bronze", c.BRONZE_SCHEMA)
+    for first, last in ((1, 4), (5, 6), (7, 8)):
+        bronze.append(t.bronze.where(F.col("commit_id").between(first, last)), last)
+    stored = {name: CommitTable(t.spark, f"{root}/{name}", SILVER_SCHEMAS[name], rebalance=True) for name in silver}
+    for name, table in stored.items():
+        table.append(silver[name], 1)
+    moment = datetime.fromisoformat(str(SINCE))
+    hours = checks.hours_since([bronze, *stored.values()], moment)
+    reached = dict.fromkeys(silver, 6) | {"silver_likes": 4}
+    read = {name: table.read() for name, table in stored.items()}
+    return checks.check_silver_matches_bronze(bronze.read(), read, reached, utc(SINCE), hours=hours)
 
 
 @query(

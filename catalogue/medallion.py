@@ -8,8 +8,11 @@ from catalogue.shape import CTES
 from tidemark import contract as c
 from tidemark.operators import ranking
 from tidemark.operators.dedup import dedup_batch, dedup_incremental
+from tidemark.plans.account_bitmaps import AccountBitmaps
 from tidemark.plans.gold import GOLD
+from tidemark.plans.incremental import Pipeline
 from tidemark.plans.silver import SILVER
+from tidemark.session import scratch_path
 from tidemark.sources.tables import time_bounds
 
 CREATED = "TRY_CAST(record::JSON ->> '$.createdAt' AS TIMESTAMP) AS created_at"
@@ -198,3 +201,26 @@ def topk(t: Tables):
     return ranking.topk_per_group(
         totals, ["day"], [F.desc("total"), F.asc("user_id")], c.TOP_HASHTAGS
     )
+
+
+@query(
+    "gold_active_users_bitmaps",
+    """SELECT 'hour' AS span, hour, collection, active_accounts FROM gold_active_users_hour
+    UNION ALL SELECT 'day', day, collection, count(DISTINCT did) FROM (
+        SELECT CAST(CAST(event_time AS DATE) AS TIMESTAMP) AS day, unnest([thing, 'all']) AS collection, did
+        FROM happenings WHERE act = 'made') GROUP BY ALL""",
+    "gold_active_users_hour",
+)
+def gold_active_users_bitmaps(t: Tables):
+    """Distinct accounts from bitmaps kept up commit by commit, late rows and copies included: per
+    hour, and over the 24 hours of a day, from the same bitmaps."""
+    root = scratch_path(t.spark, "accounts")
+    pipeline = Pipeline(t.spark, root, ["gold_active_users_hour"])
+    store = AccountBitmaps(t.spark, f"{root}/active")
+    for first, last in ((1, 4), (5, 8)):
+        pipeline.append_bronze(t.bronze.where(F.col("commit_id").between(first, last)), last)
+        pipeline.silver_pass()
+        store.update(pipeline.silver)
+    hours = store.active().select(F.lit("hour").alias("span"), "*")
+    days = store.active(F.date_trunc("DAY", "hour")).select(F.lit("day").alias("span"), "*")
+    return hours.unionByName(days)

@@ -18,6 +18,7 @@ QUOTE_EMBEDS = ("app.bsky.embed.record", "app.bsky.embed.recordWithMedia")
 AT_URI_PATTERN = "^at://did:[a-z]+:[^/]+/[^/]+/[^/]+$"
 
 TYPES = {
+    "binary": T.BinaryType(),
     "bigint": T.LongType(),
     "int": T.IntegerType(),
     "string": T.StringType(),

@@ -4,6 +4,7 @@ Windows on `processed_at` take an explicit moment, so a check can be repeated.""
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 from tidemark import contract as c
 from tidemark.functions.labels import silver_model
 from tidemark.operators.aggregates import having_more_than
+from tidemark.operators.filters import hour_ranges_filter
 from tidemark.operators.joins import join_cross_values, join_offset_range
 from tidemark.operators.sets import union_all
-from tidemark.sources.tables import DAY, between_times, time_bounds
+from tidemark.sources.tables import DAY, HOUR_MICROS, CommitTable, between_times, spelled_time, time_bounds
 
 
 def recent(rows: DataFrame, since: Column | None, ts: str = "processed_at") -> DataFrame:
@@ -68,6 +70,7 @@ def check_silver_matches_bronze(
     read_up_to: Mapping[str, int] | None = None,
     since: Column | None = None,
     commit: str = "commit_id",
+    hours: Sequence[int] | None = None,
 ) -> DataFrame:
     """Per Silver model, events missing from Silver and events absent from Bronze.
 
@@ -77,8 +80,13 @@ def check_silver_matches_bronze(
     not count, and a model without a position expects nothing.
 
     With `since`, events processed from then on are checked. Both layers are read over
-    the range of event times those have: copies of an event share its time."""
-    if since is not None:
+    the range of event times those have: copies of an event share its time. Where the caller
+    knows the `hours` of those events (`hours_since`), only these are read, and no rows to find them."""
+    if hours is not None:
+        ranges = [(spelled_time(h * HOUR_MICROS)[:19], spelled_time((h + 1) * HOUR_MICROS)[:19]) for h in hours]
+        bronze = hour_ranges_filter(bronze, ranges)
+        silver = {name: hour_ranges_filter(rows, ranges) for name, rows in silver.items()}
+    elif since is not None:
         found = [recent(rows, since).select("event_time") for rows in (bronze, *silver.values())]
         bounds = time_bounds(union_all(found))
         if bounds is not None:
@@ -122,6 +130,17 @@ def check_silver_matches_bronze(
     )
 
 
+def hours_since(tables: Sequence[CommitTable], since: datetime, column: str = "processed_at") -> list[int]:
+    """The event hours of all commits that hold a row processed from a moment on (UTC without a
+    zone), from the lines of their logs: no data is read. One late row brings its own hour, and
+    nothing between."""
+    zoned = since if since.tzinfo else since.replace(tzinfo=timezone.utc)
+    micros = int(zoned.timestamp()) * 1_000_000 + zoned.microsecond
+    found = [table.commits_reaching(column, micros).select(F.explode("hours").alias("h")) for table in tables]
+    # Hours grow with the time covered, not with rows
+    return [r["h"] for r in union_all(found).distinct().orderBy("h").collect()]
+
+
 def check_gold_matches_silver(
     silver: Mapping[str, DataFrame],
     gold: Mapping[str, DataFrame],
