@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NO_ID, grams, mixed, paired, pieces, row_key, stored, text_bytes, whole_text, words
-from tidemark.llm.components import components
+from tidemark.llm.common import NO_ID, grams, mixed, paired, pieces, row_key, text_bytes, whole_text, words
+from tidemark.llm.components import components, contracted, forget, kept
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -32,6 +32,7 @@ SAMPLES = BANDS * ROWS
 RARE = 1024
 DRAWS = 1 << 14  # pre-drawn rows of (r, b, ln c); a shingle's hash picks its row
 TINY_BUCKET, SMALL_BUCKET = 8, 64
+PAYING = 50  # pairs a link of a round may cost
 BLOCK_BYTES = 2_000_000
 CHUNK = 4096
 COUNTERS = 1 << 20  # of shingles by hash; they order the prefixes and decide nothing
@@ -270,9 +271,10 @@ def large_bucket_pairs(rest: DataFrame, vector: DataFrame) -> DataFrame:
     Components meet before their members do: members of one component never meet each other."""
     texts = hot_vectors(rest, vector)
     counters = rest.sparkSession.sparkContext.broadcast(shingle_counters(texts))
-    every = stored(prefixes(texts, counters), "prefixes")
+    every = kept(prefixes(texts, counters), "prefixes")
     several = every.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    own = stored(every.join(several.select("shingle"), "shingle"), "prefixes")
+    own = kept(every.join(several.select("shingle"), "shingle"), "prefixes")
+    forget(every)
     held = own.groupBy("shingle", "root").agg(F.max("rest").alias("most"), F.min("total").alias("least"), F.max("total").alias("longest"))
     other = held.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("root", "most", "least", "longest")])
     enough = NEED * (F.col("least") + F.col("other_least"))
@@ -296,29 +298,39 @@ def near_roots(members: DataFrame, vector: DataFrame) -> DataFrame:
 
     First every member against two representatives, and all pairs of the smallest buckets. Then,
     between the components found, all pairs of small buckets, and representatives of large ones,
-    twice as many every round, until a round brings no link. Representatives only contract: at last
-    all pairs of the components left in large buckets are compared that can reach SIMILAR."""
+    twice as many every round, as long as one pair in PAYING links. Representatives only contract:
+    at last all pairs of the components left in large buckets are compared that can reach SIMILAR."""
     first = members.withColumn("root", F.col("n"))
     pairs = representative_pairs(first, (0, 1)).union(small_bucket_pairs(first, TINY_BUCKET))
-    tested = stored(ordered(pairs), "pairs")
-    links, seed, more = stored(verified(tested, vector), "links"), 2, 8
+    tested = kept(ordered(pairs), "pairs")
+    links, seed, more = kept(verified(tested, vector), "links"), 2, 8
+    roots = components(links).withColumnRenamed("node", "n")
+    forget(links)
     while True:
-        roots = components(links).withColumnRenamed("node", "n")
-        rest = stored(rooted(members, roots), "rest")
+        rest = kept(rooted(members, roots), "rest")
         pairs = representative_pairs(rest.filter(F.col("members") > SMALL_BUCKET), tuple(range(seed, seed + more)))
         if seed == 2:
             pairs = pairs.union(small_bucket_pairs(rest, SMALL_BUCKET))
-        pairs = stored(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
+        pairs = kept(ordered(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = kept(verified(pairs, vector), "links")
         tested = tested.union(pairs)
-        if not found.take(1):
+        n_pairs, n_links = pairs.count(), found.count()
+        if n_links:
+            last, roots = roots, contracted(roots, found)
+            forget(last)
+        forget(found)
+        if n_links * PAYING < n_pairs or not n_links:
             break
-        links, seed, more = links.union(found), seed + more, more * 2
+        forget(rest)
+        seed, more = seed + more, more * 2
+    if n_links:
+        last, rest = rest, kept(rooted(members, roots), "rest")
+        forget(last)
     if not rest.filter(F.col("members") > SMALL_BUCKET).take(1):
         return roots
-    pairs = stored(ordered(large_bucket_pairs(rest, vector)).join(tested, ["a", "b"], "left_anti"), "pairs")
-    found = stored(verified(pairs, vector), "links") if pairs.take(1) else pairs
-    return components(links.union(found)).withColumnRenamed("node", "n") if found.take(1) else roots
+    pairs = kept(ordered(large_bucket_pairs(rest, vector)).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = kept(verified(pairs, vector), "links")
+    return contracted(roots, found) if found.take(1) else roots
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -326,14 +338,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
     (k, tk) of `docs`, which has k, tk and text. Texts that are equal, or linked by a chain of similarities of SIMILAR or more,
     are one class. tk names a text; an empty text has a tk of its own for every k."""
     known = docs.sparkSession.sparkContext.broadcast(frequent_words(docs, docs.count()))
-    marks = stored(signed(docs, known), "signatures")
+    marks = kept(signed(docs, known), "signatures")
     texts = marks.groupBy("tk").agg(F.min("k").alias("k"), F.first("bands").alias("bands"))
-    texts = stored(texts.withColumn("n", F.monotonically_increasing_id()), "texts")
+    texts = kept(texts.withColumn("n", F.monotonically_increasing_id()), "texts")
     buckets = texts.select("n", F.posexplode("bands").alias("band", "key"))
     shared = buckets.groupBy("band", "key").agg(F.count("*").alias("members")).filter("members > 1")
-    members = stored(buckets.join(shared, ["band", "key"]), "buckets")
+    members = kept(buckets.join(shared, ["band", "key"]), "buckets")
     wanted = texts.select("n", "k", "tk").join(members.select("n").distinct(), "n")
-    vector = stored(vectors(docs, wanted, known), "vectors")
+    vector = kept(vectors(docs, wanted, known), "vectors")
     roots = near_roots(members, vector)
     classes = texts.select("n", "k", "tk").join(roots, "n", "left").withColumn("root", F.coalesce("root", "n"))
     lows = classes.groupBy("root").agg(F.min("k").alias("low"))
