@@ -16,22 +16,30 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts, and texts without letters, have no language and go. Repeated rows share
+    their fate. Without labelled rows there is no language to know, and every row goes."""
     return langid.accepted(docs, langid.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated rows are one class. Among equal least doc_ids (a null is least) the text of the least
+    digest stays; an empty text is a class with those of its own doc_id only."""
     return neardup.without_near_duplicates(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null and empty texts have no words and stay, and so does everything where no item has words.
+    Repeated rows share their fate."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Row by row; a null text stays null, an empty one empty. Spans that overlap are one mask."""
     return secrets.mask_secrets(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Row by row; a null text is empty and has no ids."""
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 

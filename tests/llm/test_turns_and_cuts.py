@@ -12,7 +12,7 @@ import pytest
 from llm_fixtures import frame, odd_rows, rows_of, sha, word_list
 from pyspark.sql import functions as F
 
-from tidemark.llm import infill, licenses, trie
+from tidemark.llm import infill, licenses, secrets, trie
 from tidemark.session import settings
 
 # --- Prefix trie ---
@@ -235,3 +235,44 @@ def test_skip_list_places(n):
     # every lane spans everything, and lanes shrink
     assert all(u.sum() == n and c.sum() == widths.sum() for u, c, _ in ranks.lanes)
     assert len(ranks.lanes) <= 2 + 2 * max(1, int(math.log(n + 1, 8)))
+
+
+# --- Secrets: the contract's base columns, recounted with patterns of their own ---
+
+
+def brute_base(text):
+    text, found = text or "", []
+    name = "(?i:password|passwd|secret|token|apikey|api_key)"
+    for m in re.finditer(name + "[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        found.append((m.start(), 0, m.end(), len(m[1]) >= 6))
+    for m in re.finditer("AKIA[A-Z0-9]+", text):
+        found.append((m.start(), 1, m.end(), m.end() - m.start() >= 20))
+    for m in re.finditer("[0-9a-f]+", text):
+        found.append((m.start(), 2, m.end(), m.end() - m.start() >= 24))
+    kept = sorted(f[:3] for f in found if f[3])
+    names = ("assign", "access", "hex")
+    listed = ",".join(f"{names[k]}:{s}:{e}" for s, k, e in kept)
+    return (*(sum(f[1] == k for f in kept) for k in range(3)), sha(listed.encode()), kept)
+
+
+def secret_rows():
+    source = random.Random(11)
+    parts = ["password", "Token", "API_KEY", "apikey", "=", ":", " ", "'", '"', "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef", "hunter2hunter", "é", "\n", "x"]
+    rows = [(i, "".join(source.choice(parts) for _ in range(i % 60)), "en", "s", 1) for i in range(2000, 2400)]
+    many = " ".join(f"token=secret{n}value AKIA{'Z' * 16}" for n in range(4000))
+    return odd_rows() + rows + [(3000, many, "en", "s", 1), (3001, "secret:" * 500, "en", "s", 1)]
+
+
+def test_base_columns_of_secrets(spark):
+    rows = secret_rows()
+    got = secrets.scan_secrets(frame(spark, rows, clash=True))
+    want = sorted(((r[0], *brute_base(r[1])[:4]) for r in rows), key=repr)
+    assert rows_of(got, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == want
+    # Every base span is among all spans, at its place
+    spans = {r["doc_id"]: r["spans"] for r in got.filter("doc_id >= 2000").collect()}
+    for doc_id, text, *_ in rows:
+        if doc_id is not None and doc_id >= 2000:
+            base = [f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in brute_base(text)[4]]
+            own = spans[doc_id].split(",")
+            assert [s for s in own if s.split(":")[0] in ("assign", "access", "hex")] == base or not base
+    assert secrets.scan_secrets(frame(spark, rows).limit(0)).count() == 0
