@@ -224,12 +224,14 @@ def hot_vectors(rest: DataFrame, vector: DataFrame) -> DataFrame:
 
 
 def shingle_counters(texts: DataFrame) -> np.ndarray:
-    """How many of the texts hold a shingle, in COUNTERS sums by its hash."""
+    """How many of the texts hold a shingle, in COUNTERS sums by its hash. The table is to tell
+    frequent shingles from rare ones: what a batch meets once is left out of it."""
 
     def count(batches):
         for batch in batches:
             held = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column(0)]
             slot, n = np.unique(mixed(np.concatenate(held)) & np.uint64(COUNTERS - 1), return_counts=True)
+            slot, n = slot[n > 1], n[n > 1]
             yield pa.RecordBatch.from_pydict({"slot": slot.astype(np.int32), "n": n.astype(np.int64)})
 
     counted = texts.select("hashes").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
