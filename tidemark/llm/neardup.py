@@ -33,7 +33,7 @@ RARE = 1024
 DRAWS = 1 << 14  # pre-drawn rows of (r, b, ln c); a shingle's hash picks its row
 TINY_BUCKET, SMALL_BUCKET = 8, 64
 PAYING = 50  # pairs a link of a round may cost
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 800_000
 CHUNK = 4096
 COUNTERS = 1 << 20  # of shingles by hash; they order the prefixes and decide nothing
 NEED = SIMILAR / (1 + SIMILAR) * (1 - 1e-6)  # of both texts' weights: what a pair of SIMILAR shares
