@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -316,6 +317,21 @@ def test_leaks_of_nothing(spark):
 
 # repeats
 
+def test_a_block_of_words_takes_little_memory():
+    text = pa.array(["some words of a text " * 50] * (decontaminate.BLOCK_BYTES // 1050))
+    tracemalloc.start()
+    decontaminate.Block(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+
+
+def test_local_tables_need_no_python_worker(spark):
+    plan = langid.small_table(spark, lang=["en", "fr"], share=[0.5, 1.0])
+    assert plan.dtypes == [("lang", "string"), ("share", "double")]
+    assert "RDD" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_repeats_agree_with_brute_force(spark):
     passage = prose(70, 40)
     rows = unique_rows() + [(500 + i, f"{prose(i + 900, 10)} {passage} {prose(i + 950, 12)}", "en", "s", 1) for i in range(25)]

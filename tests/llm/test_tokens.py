@@ -49,6 +49,12 @@ def test_a_merge_that_makes_a_lower_rank():
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [bpe.one_by_one(vocabulary, w) for w in words]
 
 
+def test_a_round_trip_takes_one_worker_a_core(spark):
+    # an encoding below a decoding keeps two workers at once, for good
+    plan = bpe.round_trip(frame(spark, odd_rows()), RANKS, public_tokenizers.PATTERN)._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_bpe_of_nothing(spark):
     assert bpe.round_trip(frame(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 

@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import encoded_blocks
-from tidemark.llm.common import whole_text, widened
+from tidemark.llm.common import pieces, whole_text, widened
 
 BLOCK_WORDS = 100_000
 BLOCK_PIECES = 1_500_000
+BLOCK_BYTES = 1_000_000
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -180,23 +181,21 @@ def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
     return b"".join(map(vocabulary.token.__getitem__, ids.tolist()))
 
 
-def encode_rows(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS,
-                block_pieces: int = BLOCK_PIECES) -> DataFrame:
-    """`docs` with `ids`: the token ids of each text, four little-endian bytes each.
+def batch_encoder(columns: list[str], path: str, pattern: str, block_words: int, block_pieces: int):
+    """Of batches with these columns: the same rows with `ids`, in runs of BLOCK_BYTES of text."""
+    at, names = columns.index("text"), [*columns, "ids"]
 
-    A null or empty text has no ids. Rows are encoded one by one, so repeated rows, null doc_ids
-    and further columns do no harm; a column that is called `ids` is replaced."""
-
-    def encode(batches):
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
 
         def texts():
             for batch in batches:
-                waiting.append(batch)
-                for text in batch.column(at):
-                    yield text.as_py() or ""
+                for part in pieces(batch, at, BLOCK_BYTES):
+                    waiting.append(part)
+                    for text in part.column(at):
+                        yield text.as_py() or ""
 
-        at, done = text_at, []
+        done = []
         for ids in encoded_texts(texts(), load(path), pattern, block_words, block_pieces):
             done.append(ids.astype("<u4").tobytes())
             while waiting and len(done) >= waiting[0].num_rows:
@@ -205,9 +204,17 @@ def encode_rows(docs: DataFrame, path: str, pattern: str, block_words: int = BLO
                 done = done[batch.num_rows :]
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], names)
 
+    return encode
+
+
+def encode_rows(docs: DataFrame, path: str, pattern: str, block_words: int = BLOCK_WORDS,
+                block_pieces: int = BLOCK_PIECES) -> DataFrame:
+    """`docs` with `ids`: the token ids of each text, four little-endian bytes each.
+
+    A null or empty text has no ids. Rows are encoded one by one, so repeated rows, null doc_ids
+    and further columns do no harm; a column that is called `ids` is replaced."""
     rows = docs.drop("ids")
-    text_at = rows.columns.index("text")
-    names = [*rows.columns, "ids"]
+    encode = batch_encoder(rows.columns, path, pattern, block_words, block_pieces)
     return rows.mapInArrow(encode, widened(rows, ids="binary"))
 
 
@@ -227,11 +234,16 @@ def decode_rows(rows: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded and decoded again."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded and decoded again.
+
+    Both in one Python step: two of them, one on the other, take two workers a core, and an
+    executor keeps them all."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    encode = batch_encoder(rows.columns, path, pattern, BLOCK_WORDS, BLOCK_PIECES)
 
     def digest(batches):
         vocabulary = load(path)
-        for batch in batches:
+        for batch in encode(batches):
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             for value in batch.column("ids"):
                 raw = value.as_py()
@@ -242,6 +254,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 )
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **out})
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    encoded = encode_rows(rows, path, pattern).drop("text")
-    return encoded.mapInArrow(digest, SCHEMA)
+    return rows.mapInArrow(digest, SCHEMA)

@@ -39,7 +39,7 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str | int, limit: int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold about `limit` bytes (one row at the least)."""
     if batch.num_rows == 0:
         return

@@ -20,7 +20,7 @@ from tidemark.llm.common import grams, pieces, row_key, stored, text_bytes, whol
 WINDOW = 10
 GRAM = 5
 REACH = WINDOW - GRAM  # words a window can hold beside its fingerprint
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 800_000  # numpy holds some 40 times as much
 
 MARKS = "row bigint, mark bigint, size int, at int, context array<binary>, left int"
 MARKED = (

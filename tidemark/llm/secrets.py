@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import pieces, whole_text
 
 # The base patterns, the least lengths, and the order of the kinds
 ASSIGN = re.compile(
@@ -44,6 +44,8 @@ SEQUENCES = ("0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 # c log2 c for every count a window can hold
 _C_LOG_C = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
+BLOCK_BYTES = 1_000_000
+
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -154,9 +156,10 @@ def mask_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            texts = [t.as_py() if t.is_valid else None for t in batch.column("text")]
-            new = pa.array([None if t is None else masked(t) for t in texts], pa.string())
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, pa.field("text", pa.string()), new)
+            for part in pieces(batch, "text", BLOCK_BYTES):
+                texts = [t.as_py() if t.is_valid else None for t in part.column("text")]
+                new = pa.array([None if t is None else masked(t) for t in texts], pa.string())
+                at = part.schema.get_field_index("text")
+                yield part.set_column(at, pa.field("text", pa.string()), new)
 
     return docs.mapInArrow(scan, docs.schema)
