@@ -83,3 +83,20 @@ def test_query_agrees_with_its_sql(spark, oracle, name):
 
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_rebuilding_hours_takes_its_rows_from_the_log(spark, monkeypatch):
+    # every event is shaped again for a count of Bronze
+    def count(rows):
+        raise AssertionError("the log knows how many rows there are")
+
+    found = spark.range(0)
+    rows = entry.queries()["rebuild_hours"]
+    with monkeypatch.context() as m:
+        m.setattr(type(found), "count", count)
+        frame = rows(spark, FOLDER)
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    want = con.execute(f"SELECT count(*) FROM ({entry.oracle_sql()['rebuild_hours']})").fetchone()[0]
+    assert frame.count() == want
